@@ -16,7 +16,7 @@ def parse_date(col: Column | str, formats=DEFAULT_DATE_FORMATS) -> Column:
     """First format that parses wins; unparsable text gives null, never an
     error (Spark 4 is ANSI by default)."""
     c = F.trim(F.col(col) if isinstance(col, str) else col)
-    return F.coalesce(*[F.try_to_date(c, F.lit(f)) for f in formats])
+    return F.coalesce(*[F.try_to_date(c, f) for f in formats])
 
 
 def as_date(value) -> dt.date:

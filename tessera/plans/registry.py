@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import adapters as A
-from . import food
+from . import food, retail, titles
+from .titles import Catalogue
 from . import params as P
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,4 +30,36 @@ QUERIES: dict[str, Query] = {
     "all_promo_customers": _food(food.all_promo_customers),
     "organic_share_never_promo": _food(food.organic_share_never_promo, P.ACQ_YEAR, P.ACQ_MONTH),
     "organic_share_first_order": _food(food.organic_share_first_order, P.ACQ_MONTH),
+    # retail orders
+    "profit_columns": retail.profit_columns,
+    "top_products": lambda s, d: retail.top_products(retail.cleansed(s, d, "product_id"), P.TOP_N),
+    "top5_products_by_region": lambda s, d: retail.top_products_by_region(
+        retail.cleansed(s, d, "product_id", "region"), P.TOP_K),
+    "month_over_year": lambda s, d: retail.month_over_year(
+        retail.cleansed(s, d, "order_date"), P.YEAR_A, P.YEAR_B),
+    "best_month_by_category": lambda s, d: retail.best_month_by_category(
+        retail.cleansed(s, d, "category", "order_date")),
+    "best_month_by_category_literal": lambda s, d: retail.best_month_by_category(
+        retail.cleansed(s, d, "category", "order_date"), literal=True),
+    "top_profit_growth": lambda s, d: retail.top_profit_growth(
+        retail.cleansed(s, d, "sub_category", "order_date", profit=True), P.YEAR_A, P.YEAR_B),
+    # title catalogue
+    "bridge_director": lambda s, d: Catalogue(s, d).directors(),
+    "bridge_cast": lambda s, d: Catalogue(s, d).cast(),
+    "bridge_genre": lambda s, d: Catalogue(s, d).genres(),
+    "bridge_country": lambda s, d: Catalogue(s, d).countries_split(),
+    "country_filled": lambda s, d: Catalogue(s, d).countries(),
+    "dedupe_titles": lambda s, d: Catalogue(s, d).deduped(),
+    "titles_land": lambda s, d: Catalogue(s, d).land(),
+    "titles_land_literal": lambda s, d: Catalogue(s, d).land(literal=True),
+    "parse_dates": lambda s, d: titles.parse_dates(A.titles(s, d)),
+    "director_type_counts": lambda s, d: titles.director_type_counts(Catalogue(s, d)),
+    "director_type_counts_distinct": lambda s, d: titles.director_type_counts(
+        Catalogue(s, d), distinct=True),
+    "top_country_for_genre": lambda s, d: titles.top_country_for_genre(Catalogue(s, d), P.COMEDY),
+    "top_director_per_year": lambda s, d: titles.top_director_per_year(Catalogue(s, d)),
+    "avg_duration_by_genre": lambda s, d: titles.avg_duration_by_genre(Catalogue(s, d)),
+    "both_genre_directors": lambda s, d: titles.both_genre_directors(
+        Catalogue(s, d), P.COMEDY, P.HORROR),
+    "scalar_functions": lambda s, d: titles.scalar_functions(A.titles(s, d)),
 }
