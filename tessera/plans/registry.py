@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import adapters as A
-from . import food, retail, titles
+from . import food, quality, retail, reviews, titles
+from ..operators import profile
+from ..operators.sentiment import Lexicon
 from .titles import Catalogue
 from . import params as P
 
@@ -62,4 +64,33 @@ QUERIES: dict[str, Query] = {
     "both_genre_directors": lambda s, d: titles.both_genre_directors(
         Catalogue(s, d), P.COMEDY, P.HORROR),
     "scalar_functions": lambda s, d: titles.scalar_functions(A.titles(s, d)),
+    # business reviews
+    "variant_projection": A.reviews,
+    "category_counts": lambda s, d: reviews.category_counts(A.businesses(s, d)),
+    "top_category_reviewers": lambda s, d: reviews.top_category_reviewers(
+        A.reviews(s, d), A.businesses(s, d), P.CATEGORY_PATTERN, P.TOP_N),
+    "category_reviews": lambda s, d: reviews.category_reviews(A.reviews(s, d), A.businesses(s, d)),
+    "recent_reviews": lambda s, d: reviews.recent_reviews(A.reviews(s, d), P.RECENT_K),
+    "busiest_month": lambda s, d: reviews.busiest_month(A.reviews(s, d)),
+    "five_star_share": lambda s, d: reviews.five_star_share(A.reviews(s, d)),
+    "top5_businesses_by_city": lambda s, d: reviews.top_businesses_by_city(
+        A.reviews(s, d), A.businesses(s, d), P.TOP_K),
+    "avg_rating_min_reviews": lambda s, d: reviews.avg_rating_min_reviews(
+        A.reviews(s, d), P.MIN_REVIEWS),
+    "top_users_businesses": lambda s, d: reviews.top_users_businesses(A.reviews(s, d), P.TOP_N),
+    "sentiment_labels": lambda s, d: reviews.sentiment_labels(
+        A.documents(s, d), Lexicon(s, A.DEMO_LEXICON)),
+    "top_positive_businesses": lambda s, d: reviews.top_positive_businesses(
+        A.documents(s, d), Lexicon(s, A.DEMO_LEXICON), P.TOP_N),
+    # profiling and quality
+    "null_profile": lambda s, d: profile.null_profile(A.titles(s, d)),
+    "max_len": lambda s, d: profile.max_length(A.titles(s, d), "cast"),
+    "distinct_values": lambda s, d: profile.distinct_values(A.titles(s, d), "rating"),
+    "duplicate_keys": lambda s, d: profile.duplicate_keys(A.titles(s, d), ["title", "type"]),
+    "duplicate_rows": lambda s, d: profile.duplicate_rows(A.titles(s, d), ["title", "type"]),
+    # sources
+    "null_tokens": lambda s, d: quality.null_tokens(s, d, P.NULL_TOKENS),
+    "rechunk_counts": lambda s, d: quality.rechunk_counts(s, d, P.CHUNKS),
+    "file_audit": quality.table_file_audit,
+    "invalid_json_lines": quality.invalid_props,
 }

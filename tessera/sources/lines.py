@@ -33,9 +33,8 @@ def with_line_numbers(df: DataFrame, col: str = "line_no", base: int = 0,
     out = (tagged.join(F.broadcast(offsets), "_part")
                  .withColumn(col, F.col("_offset") + F.col("_mid").bitwiseAND(F.lit(_LOW_BITS))
                              + F.lit(base)))
-    if total_col:
-        out = out.withColumnRenamed("_total", total_col)
-    return out.drop("_mid", "_part", "_offset", "_total")
+    out = out.drop("_mid", "_part", "_offset")
+    return out.withColumnRenamed("_total", total_col) if total_col else out.drop("_total")
 
 
 def assign_chunks(df: DataFrame, n: int, col: str = "chunk",
@@ -43,6 +42,6 @@ def assign_chunks(df: DataFrame, n: int, col: str = "chunk",
     """Split rows, in order, into ``n`` contiguous chunks whose sizes differ
     by at most one. Every row is kept (no remainder is dropped)."""
     numbered = with_line_numbers(df, line_col, total_col="_total")
-    return (numbered.withColumn(col, F.floor(F.col(line_col) * F.lit(n) / F.col("_total"))
-                                .cast("int"))
+    # exact integer arithmetic: chunk = line * n div total
+    return (numbered.withColumn(col, F.expr(f"cast(({line_col} * {int(n)}) div _total as int)"))
                     .drop("_total"))
