@@ -14,6 +14,13 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # No broadcast from compile-time guesses (compressed file size times a
+    # column ratio says little about the in-memory size). AQE broadcasts a
+    # join side only after its shuffle stage has run and its measured size is
+    # under this threshold; explicit hints are kept for sides whose size is
+    # bounded by construction (fixed dimensions, top-n, lexicons).
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
