@@ -24,10 +24,15 @@ def invalid_json_lines(lines: DataFrame, line_col: str = "value",
     return lines.filter(F.try_parse_json(F.col(line_col)).isNull()).select(number_col, line_col)
 
 
-def invalid_json_in_file(spark: SparkSession, path: str) -> DataFrame:
-    """(line_no, value) of every malformed line of a file set, 1-based
-    line numbers in file order."""
-    return invalid_json_lines(with_line_numbers(read_lines(spark, path), "line_no", base=1))
+def invalid_json_in_file(spark: SparkSession, path: str, per_file: bool = False) -> DataFrame:
+    """(file_path, line_no, value) of every malformed line of a file set.
+    Line numbers are 1-based, in (file path, line) order; ``per_file=True``
+    numbers the lines of each file from 1."""
+    lines = read_lines(spark, path).withColumn("file_path", F.col("_metadata.file_path"))
+    numbered = with_line_numbers(lines, "line_no", base=1, file_col="file_path",
+                                 per_file=per_file)
+    return numbered.filter(F.try_parse_json(F.col("value")).isNull()).select(
+        "file_path", "line_no", "value")
 
 
 def line_count(spark: SparkSession, path: str) -> int:

@@ -1,15 +1,23 @@
 """Dense, order-preserving line numbers without a single-partition window.
 
 ``monotonically_increasing_id`` packs (partition index << 33) + position in
-the partition. Counting rows per partition gives a table with one row per
-input partition -- bounded by the number of splits, never by the data -- so a
-running sum over it and a broadcast join back are safe at any scale. The
-result is a gap-free 0..N-1 index in scan order, computed with one extra
-aggregation and no shuffle of the data itself.
+the partition. Counting rows per (file, partition) segment gives a table with
+one row per input split -- bounded by the number of splits, never by the data
+-- so a running sum over it and a broadcast join back are safe at any scale.
+The result is a gap-free 0..N-1 index, computed with one extra aggregation
+and no shuffle of the data itself.
+
+Order: Spark's file scan places the splits of one file in increasing
+partition order (splits are sorted by size with a stable sort, and only a
+file's last split can be shorter), but splits of *different* files are
+interleaved by size. Passing ``file_col`` (the scan's ``_metadata.file_path``)
+numbers rows in (file path, position in file) order; ``per_file=True``
+restarts the numbering in every file. Without ``file_col`` rows are numbered
+in scan order, which is file order for a single file.
 
 Apply it directly on a file scan: the scan is read twice (count pass and
 numbering pass) and yields identical splits both times, and a lost task
-recomputes the same ids. Splits of a single file keep file order.
+recomputes the same ids.
 """
 
 from __future__ import annotations
@@ -17,31 +25,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_LOW_BITS = (1 << 33) - 1
-
 
 def with_line_numbers(df: DataFrame, col: str = "line_no", base: int = 0,
-                      total_col: str | None = None) -> DataFrame:
+                      total_col: str | None = None, file_col: str | None = None,
+                      per_file: bool = False) -> DataFrame:
     tagged = df.withColumn("_mid", F.monotonically_increasing_id())
     tagged = tagged.withColumn("_part", F.shiftright("_mid", 33))
-    counts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    seg = ([file_col] if file_col else []) + ["_part"]
+    counts = tagged.groupBy(*seg).agg(F.count(F.lit(1)).alias("_n"),
+                                      F.min("_mid").alias("_first"))
+    scope = [file_col] if (file_col and per_file) else []
+    before = (Window.partitionBy(*scope).orderBy(*seg)
+                    .rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select(
-        "_part",
+        *seg, "_first",
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
-        F.sum("_n").over(Window.partitionBy()).alias("_total"))
-    out = (tagged.join(F.broadcast(offsets), "_part")
-                 .withColumn(col, F.col("_offset") + F.col("_mid").bitwiseAND(F.lit(_LOW_BITS))
+        F.sum("_n").over(Window.partitionBy(*scope)).alias("_total"))
+    # A segment's rows hold consecutive ids, so the position inside it is
+    # the id minus the segment's first id.
+    out = (tagged.join(F.broadcast(offsets), seg)
+                 .withColumn(col, F.col("_offset") + (F.col("_mid") - F.col("_first"))
                              + F.lit(base)))
-    out = out.drop("_mid", "_part", "_offset")
+    out = out.drop("_mid", "_part", "_offset", "_first")
     return out.withColumnRenamed("_total", total_col) if total_col else out.drop("_total")
 
 
 def assign_chunks(df: DataFrame, n: int, col: str = "chunk",
-                  line_col: str = "line_no") -> DataFrame:
+                  line_col: str = "line_no", file_col: str | None = None) -> DataFrame:
     """Split rows, in order, into ``n`` contiguous chunks whose sizes differ
     by at most one. Every row is kept (no remainder is dropped)."""
-    numbered = with_line_numbers(df, line_col, total_col="_total")
+    numbered = with_line_numbers(df, line_col, total_col="_total", file_col=file_col)
     # exact integer arithmetic: chunk = line * n div total
     return (numbered.withColumn(col, F.expr(f"cast(({line_col} * {int(n)}) div _total as int)"))
                     .drop("_total"))

@@ -11,14 +11,24 @@ from .lines import assign_chunks
 def rechunk_text(spark: SparkSession, src: str, dst: str, n: int = 25,
                  mode: str = "overwrite") -> None:
     """Write ``src`` lines to ``dst/chunk=i/`` for i in 0..n-1, contiguous and
-    in input order, sizes within one line of each other.
-
-    Each chunk is shuffled to exactly one writer task and sorted by line
-    number there, so each chunk directory holds one file in input order.
+    in input order (files in path order), sizes within one line of each other.
+
+    No single writer per chunk: a chunk is written by every task whose slice
+    of lines overlaps it, each slice sorted by line number. Part files are
+    named by task index, so the tasks must hold consecutive line ranges for a
+    chunk folder's files, in name order, to hold its lines in order. A single
+    input file is scanned in line order already (its splits keep file order),
+    so it is written straight from the scan tasks without a shuffle; a file
+    set, whose splits Spark interleaves by size, is range-partitioned by line
+    number first.
     """
-    lines = assign_chunks(spark.read.text(src), n)
-    (lines.repartition(n, "chunk")
-          .sortWithinPartitions("chunk", "line_no")
+    text = spark.read.text(src)
+    single_file = len(text.inputFiles()) == 1
+    lines = assign_chunks(text.withColumn("_file", F.col("_metadata.file_path")), n,
+                          file_col="_file")
+    if not single_file:
+        lines = lines.repartitionByRange("line_no")
+    (lines.sortWithinPartitions("chunk", "line_no")
           .select("chunk", "value")
           .write.mode(mode).partitionBy("chunk").text(dst))
 

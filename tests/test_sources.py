@@ -88,6 +88,98 @@ def test_rechunk_and_audit(spark, tmpdir_path):
     assert rebuilt == original
 
 
+def _files_of_lines(folder, sizes):
+    """Files f0.txt, f1.txt, ... with sizes[i] lines 'f{i}:{j}'; sizes differ
+    so Spark's size-sorted split order is not path order."""
+    os.makedirs(folder, exist_ok=True)
+    expected = []
+    for i, n in enumerate(sizes):
+        rows = [f"f{i}:{j:04d}" for j in range(n)]
+        with open(os.path.join(folder, f"f{i}.txt"), "w") as f:
+            f.write("\n".join(rows) + "\n")
+        expected.extend(rows)
+    return expected
+
+
+class _small_splits:
+    """Tiny split size, so one file spans several tasks and small files are
+    packed together."""
+
+    def __init__(self, spark, nbytes=200):
+        self.spark, self.nbytes = spark, nbytes
+
+    def __enter__(self):
+        c = self.spark.conf
+        self.saved = (c.get("spark.sql.files.maxPartitionBytes"),
+                      c.get("spark.sql.files.openCostInBytes"))
+        c.set("spark.sql.files.maxPartitionBytes", str(self.nbytes))
+        c.set("spark.sql.files.openCostInBytes", "1")
+
+    def __exit__(self, *exc):
+        self.spark.conf.set("spark.sql.files.maxPartitionBytes", self.saved[0])
+        self.spark.conf.set("spark.sql.files.openCostInBytes", self.saved[1])
+
+
+def test_line_numbers_follow_file_order_across_files_and_splits(spark, tmpdir_path):
+    folder = os.path.join(tmpdir_path, "many")
+    expected = _files_of_lines(folder, [7, 120, 3, 55])
+    with _small_splits(spark):
+        df = spark.read.text(folder).withColumn("f", F.col("_metadata.file_name"))
+        assert df.rdd.getNumPartitions() > 4
+        got = with_line_numbers(df, "ln", file_col="f").select("ln", "value").collect()
+        per = with_line_numbers(df, "ln", base=1, file_col="f", per_file=True) \
+            .select("f", "ln", "value").collect()
+    assert sorted(r.ln for r in got) == list(range(len(expected)))
+    assert [r.value for r in sorted(got, key=lambda r: r.ln)] == expected
+    for r in per:
+        assert r.value == f"{r.f[:-4]}:{r.ln - 1:04d}"
+
+
+def test_rechunk_many_files_no_single_writer(spark, tmpdir_path):
+    src = os.path.join(tmpdir_path, "src")
+    expected = _files_of_lines(src, [40, 200, 9, 90])
+    dst = os.path.join(tmpdir_path, "chunks")
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    saved = spark.conf.get(coalesce)
+    spark.conf.set(coalesce, "false")  # keep the tiny range partitions apart
+    try:
+        with _small_splits(spark, 400):
+            rechunk_text(spark, src, dst, n=4)
+    finally:
+        spark.conf.set(coalesce, saved)
+    sizes = []
+    rebuilt = []
+    for c in range(4):
+        part = os.path.join(dst, f"chunk={c}")
+        files = sorted(f for f in os.listdir(part) if f.startswith("part-"))
+        rows = []
+        for f in files:
+            with open(os.path.join(part, f)) as fh:
+                rows.extend(fh.read().splitlines())
+        sizes.append(len(rows))
+        rebuilt.extend(rows)
+    # files of each chunk, read in name order, give the input back in order
+    assert rebuilt == expected
+    assert max(sizes) - min(sizes) <= 1
+    # a chunk that spans several splits is written by several tasks
+    assert any(len([f for f in os.listdir(os.path.join(dst, f"chunk={c}"))
+                    if f.startswith("part-")]) > 1 for c in range(4))
+
+
+def test_invalid_json_lines_per_file(spark, tmpdir_path):
+    folder = os.path.join(tmpdir_path, "nd")
+    os.makedirs(folder)
+    _ndjson(os.path.join(folder, "a.json"), good=30, bad_at=20)
+    _ndjson(os.path.join(folder, "b.json"), good=3, bad_at=1)
+    with _small_splits(spark):
+        glob = invalid_json_in_file(spark, folder).collect()
+        per = invalid_json_in_file(spark, folder, per_file=True).collect()
+    assert sorted((r.file_path.rsplit("/", 1)[-1], r.line_no) for r in glob) == \
+        [("a.json", 21), ("b.json", 31 + 2)]
+    assert sorted((r.file_path.rsplit("/", 1)[-1], r.line_no) for r in per) == \
+        [("a.json", 21), ("b.json", 2)]
+
+
 def test_table_sinks(spark):
     name = "tessera_sink_test"
     drop_table(spark, name)
