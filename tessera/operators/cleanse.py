@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from ..functions.numeric import MONEY
+from ..functions.numeric import units_to_money
 from .topk import top_k_per_group
 
 
@@ -26,18 +25,44 @@ def replace_null_tokens(df: DataFrame, tokens: Sequence[str],
         for c in df.columns])
 
 
+def profit_units(df: DataFrame, list_price: str = "list_price",
+                 discount_percent: str = "discount_percent",
+                 cost_price: str = "cost_price") -> DataFrame:
+    """Adds ``discount_u``, ``sale_u`` (and ``profit_u`` when there is a cost
+    column): exact long amounts in units of 10**-(s+2), for integer prices in
+    units of 10**-s and a whole-number discount percent.
+
+    discount = list x pct x 0.01, sale = list - discount, profit = sale -
+    cost, all in long arithmetic -- no per-row decimal multiply, which Spark
+    evaluates through BigDecimal.
+    """
+    lp = F.col(list_price).cast("long")
+    out = (df.withColumn("discount_u", lp * F.col(discount_percent).cast("long"))
+             .withColumn("sale_u", lp * F.lit(100) - F.col("discount_u")))
+    if cost_price in df.columns:
+        out = out.withColumn("profit_u",
+                             F.col("sale_u") - F.col(cost_price).cast("long") * F.lit(100))
+    return out
+
+
 def derive_profit(df: DataFrame, list_price: str = "list_price",
                   discount_percent: str = "discount_percent",
-                  cost_price: str = "cost_price", drop_inputs: bool = True) -> DataFrame:
-    """discount = list x pct x 0.01; sale = list - discount; profit = sale - cost.
-
-    Decimal arithmetic throughout so sums are exact.
+                  cost_price: str = "cost_price", drop_inputs: bool = True,
+                  price_scale: int = 0) -> DataFrame:
+    """discount = list x pct x 0.01; sale = list - discount; profit = sale - cost,
+    as ``MONEY``, exact.
+
+    Prices are integers in units of 10**-price_scale (whole currency units
+    when 0, cents when 2), the discount a whole percent. Exact for
+    ``price_scale <= 2``.
     """
-    discount = (F.col(list_price) * F.col(discount_percent) * F.lit(Decimal("0.01"))).cast(MONEY)
-    out = (df.withColumn("discount", discount)
-             .withColumn("sale_price", (F.col(list_price) - F.col("discount")).cast(MONEY)))
+    scale = price_scale + 2
+    units = profit_units(df, list_price, discount_percent, cost_price)
+    out = (units.withColumn("discount", units_to_money(F.col("discount_u"), scale))
+                .withColumn("sale_price", units_to_money(F.col("sale_u"), scale)))
     if cost_price in df.columns:
-        out = out.withColumn("profit", (F.col("sale_price") - F.col(cost_price)).cast(MONEY))
+        out = out.withColumn("profit", units_to_money(F.col("profit_u"), scale))
+    out = out.drop("discount_u", "sale_u", "profit_u")
     if drop_inputs:
         out = out.drop(*[c for c in (list_price, cost_price, discount_percent) if c in df.columns])
     return out

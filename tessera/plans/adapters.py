@@ -40,6 +40,7 @@ def food_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+RETAIL_PRICE_SCALE = 2
 RETAIL_COLUMNS = ("order_id", "order_date", "region", "category", "sub_category",
                   "product_id", "list_price", "discount_percent", "cost_price")
 
@@ -85,9 +86,12 @@ def retail_orders(spark: SparkSession, sf_dir: str,
         "category": F.col("p_type"),
         "sub_category": F.col("p_brand"),
         "product_id": F.col("l_partkey"),
-        "list_price": F.col("l_extendedprice").cast("decimal(12,2)"),
-        "discount_percent": F.col("l_discount").cast("decimal(4,2)") * F.lit(100),
-        "cost_price": (F.col("l_quantity") * F.col("p_retailprice")).cast("decimal(12,2)"),
+        # integer money, as in the projects' CSV: prices in cents
+        # (RETAIL_PRICE_SCALE), the discount as a whole percent
+        "list_price": F.round(F.col("l_extendedprice") * F.lit(100)).cast("long"),
+        "discount_percent": F.round(F.col("l_discount") * F.lit(100)).cast("int"),
+        "cost_price": F.round(F.col("l_quantity") * F.col("p_retailprice") * F.lit(100))
+                       .cast("long"),
     }
     return df.select(*[exprs[c].alias(c) for c in cols])
 

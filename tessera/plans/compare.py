@@ -54,6 +54,25 @@ def oracle_rows(con, sql: str):
     return cols, cur.fetchall()
 
 
+# Spark simple type name -> DuckDB type name of the same values
+_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "tinyint": "TINYINT",
+         "string": "VARCHAR", "double": "DOUBLE", "float": "FLOAT", "boolean": "BOOLEAN",
+         "date": "DATE", "timestamp": "TIMESTAMP WITH TIME ZONE", "timestamp_ntz": "TIMESTAMP"}
+
+
+def type_mismatches(spark_df, con, sql: str) -> list[str]:
+    """Columns whose Spark type differs from the oracle's (decimals by
+    precision and scale)."""
+    duck = {d[0]: str(d[1]) for d in con.execute(f"DESCRIBE {sql}").fetchall()}
+    bad = []
+    for name, t in spark_df.dtypes:
+        want = t.upper() if t.startswith("decimal") else _DUCK.get(t, t.upper())
+        got = duck.get(name, "?").replace(" ", "")
+        if want.replace(" ", "") != got:
+            bad.append(f"{name}: spark={t} oracle={duck.get(name)}")
+    return bad
+
+
 def compare(spark_df, con, sql: str) -> tuple[bool, str]:
     s_cols = spark_df.columns
     s_rows = [tuple(r) for r in spark_df.collect()]

@@ -17,7 +17,8 @@ def register_views(spark: SparkSession, sf_dir: str) -> list[str]:
     cat = Catalogue(spark, sf_dir)
     views = {
         "orders_food": A.food_orders(spark, sf_dir),
-        "df_orders": derive_profit(A.retail_orders(spark, sf_dir)),
+        "df_orders": derive_profit(A.retail_orders(spark, sf_dir),
+                                   price_scale=A.RETAIL_PRICE_SCALE),
         "df_netflix_raw": cat.raw,
         "netflix_director": cat.directors(),
         "netflix_cast": cat.cast(),

@@ -77,12 +77,21 @@ def test_replace_null_tokens_on_all_string_columns(spark):
 
 
 def test_derive_profit_exact(spark):
-    df = spark.createDataFrame([(Decimal("260.00"), Decimal("2.00"), Decimal("240.00"))],
-                               "list_price decimal(12,2), discount_percent decimal(5,2), "
-                               "cost_price decimal(12,2)")
-    r = derive_profit(df).first()
-    assert (r.discount, r.sale_price, r.profit) == (Decimal("5.2"), Decimal("254.8"), Decimal("14.8"))
+    # whole currency units, as in the projects' CSV
+    df = spark.createDataFrame([(260, 2, 240), (1999, 7, 1500)],
+                               "list_price int, discount_percent int, cost_price int")
+    rows = derive_profit(df).collect()
+    assert [(r.discount, r.sale_price, r.profit) for r in rows] == [
+        (Decimal("5.2"), Decimal("254.8"), Decimal("14.8")),
+        (Decimal("139.93"), Decimal("1859.07"), Decimal("359.07"))]
     assert "list_price" not in derive_profit(df).columns
+    assert dict(derive_profit(df).dtypes)["profit"] == "decimal(18,4)"
+    # cents: 1234.56 at 5 % off, cost 1000.01
+    cents = spark.createDataFrame([(123456, 5, 100001)],
+                                  "list_price long, discount_percent int, cost_price long")
+    r = derive_profit(cents, price_scale=2).first()
+    assert (r.discount, r.sale_price, r.profit) == (
+        Decimal("61.728"), Decimal("1172.832"), Decimal("172.822"))
 
 
 def test_dedupe_keeps_latest_string_order(spark):
