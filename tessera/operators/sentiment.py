@@ -5,9 +5,13 @@ lexicon, and polarity is averaged per document. The label follows the
 usual polarity thresholds: > 0 Positive, = 0 Neutral, < 0 Negative; a text
 with no lexicon word scores 0 (Neutral).
 
-Plan shape: scan -> explode -> broadcast hash join (lexicon) -> partial
-aggregate by document -> one shuffle of about one row per document. A
-document is one row, so no key can be hot before the aggregate.
+Plan shape: scan -> tokenise -> keep lexicon words -> explode -> broadcast
+hash join (polarity) -> partial aggregate by document -> one shuffle of about
+one row per document. A document is one row, so no key can be hot before the
+aggregate. For a lexicon of bounded size the non-lexicon tokens are dropped
+inside each document's token array (a hash-set ``IN``), so only hits are
+exploded, joined and aggregated; a larger lexicon explodes every token and
+joins by shuffle.
 """
 
 from __future__ import annotations
@@ -24,6 +28,9 @@ POLARITY = DecimalType(4, 2)
 # Lexicons up to this many entries are broadcast; larger ones are joined by
 # shuffle (the size is known from the mapping, no action needed).
 BROADCAST_MAX_WORDS = 2_000_000
+# Lexicons up to this many entries are also written into the plan as an IN
+# set to filter tokens before the explode.
+INLINE_MAX_WORDS = 50_000
 
 
 class Lexicon:
@@ -32,17 +39,22 @@ class Lexicon:
         schema = StructType([StructField("word", StringType(), False),
                              StructField("polarity", POLARITY, False)])
         rows = [(w.lower(), Decimal(str(p))) for w, p in words.items()]
+        self.words = sorted({w for w, _ in rows}) if self.size <= INLINE_MAX_WORDS else None
         self.df = spark.createDataFrame(rows, schema)
 
     def join_side(self) -> DataFrame:
         return F.broadcast(self.df) if self.size <= BROADCAST_MAX_WORDS else self.df
 
 
-def tokens(df: DataFrame, text_col: str, keep: Sequence[str]) -> DataFrame:
-    """One row per token of the whole lower-cased text (empty text keeps one
-    empty token, null text one null token, so every document survives)."""
-    return df.select(*keep, F.explode_outer(
-        F.split(F.lower(F.col(text_col)), TOKEN_SPLIT, -1)).alias("word"))
+def tokens(df: DataFrame, text_col: str, keep: Sequence[str],
+           only: Sequence[str] | None = None) -> DataFrame:
+    """One row per token of the whole lower-cased text, or per token in
+    ``only``. A document with no (kept) token still yields one row with a
+    null token, so every document survives."""
+    toks = F.split(F.lower(F.col(text_col)), TOKEN_SPLIT, -1)
+    if only is not None:
+        toks = F.filter(toks, lambda t: t.isin(list(only)))
+    return df.select(*keep, F.explode_outer(toks).alias("word"))
 
 
 def label(polarity) -> "F.Column":
@@ -54,7 +66,7 @@ def label(polarity) -> "F.Column":
 def sentiment(df: DataFrame, id_cols: Sequence[str], text_col: str,
               lexicon: Lexicon) -> DataFrame:
     """(id_cols..., polarity, sentiment) per input row."""
-    toks = tokens(df, text_col, id_cols)
+    toks = tokens(df, text_col, id_cols, only=lexicon.words)
     scored = toks.join(lexicon.join_side(), "word", "left")
     agg = scored.groupBy(*id_cols).agg(
         F.coalesce(F.avg("polarity"), F.lit(Decimal("0"))).cast("decimal(10,6)").alias("polarity"))

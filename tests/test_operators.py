@@ -155,3 +155,21 @@ def test_variant_projection_rounds_stars(spark):
     assert out[0].business_id == "b1" and out[0].stars == Decimal(5)
     assert out[0].review_date.date() == dt.date(2018, 7, 7)
     assert out[1].business_id is None
+
+
+def test_sentiment_inline_filter_matches_full_explode(spark, monkeypatch):
+    from tessera.operators import sentiment as S
+
+    docs = spark.createDataFrame(
+        [(1, "Good good BAD movie"), (2, "nothing here"), (3, ""), (4, None), (5, "bad, bad; good")],
+        "doc_id int, text string")
+    words = {"good": 0.7, "bad": -0.7}
+    inline = S.sentiment(docs, ["doc_id"], "text", S.Lexicon(spark, words))
+    monkeypatch.setattr(S, "INLINE_MAX_WORDS", 0)
+    full_lex = S.Lexicon(spark, words)
+    assert full_lex.words is None
+    full = S.sentiment(docs, ["doc_id"], "text", full_lex)
+    got = sorted((r.doc_id, r.polarity, r.sentiment) for r in inline.collect())
+    assert got == sorted((r.doc_id, r.polarity, r.sentiment) for r in full.collect())
+    assert [(d, s) for d, _, s in got] == [(1, "Positive"), (2, "Neutral"), (3, "Neutral"),
+                                           (4, "Neutral"), (5, "Negative")]
