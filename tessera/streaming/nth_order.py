@@ -6,10 +6,25 @@ This is the continuous form: a per-customer counter kept in Structured
 Streaming state, emitting each order that brings a customer's count to a
 multiple of ``every``.
 
-State is one long per customer. Within a micro-batch a customer's new
-orders are numbered in (placed_at, order_id) order, so a micro-batch must be
-bounded (``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``); orders are
-assumed to arrive in time order across micro-batches.
+Two modes:
+
+* arrival order (``watermark=None``): state is one long per customer; a
+  customer's new orders in a micro-batch are numbered in (placed_at,
+  order_id) order, which is exact when orders arrive in time order across
+  micro-batches.
+* event time (``watermark="2 hours"`` etc.): orders may arrive out of order
+  by up to the watermark delay. A customer's orders wait in state until the
+  watermark passes them, are then numbered in (placed_at, order_id) order
+  and emitted; an event-time timeout releases them when the customer sends
+  nothing more. An order already behind the watermark when it arrives is
+  still counted, numbered after the orders already emitted. Pending state is
+  bounded by the orders of the last watermark-delay of event time.
+
+Either way the pandas function sees one customer's orders of one
+micro-batch (plus, in event-time mode, its pending ones), so micro-batches
+should be bounded (``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``). On a
+cluster, set the RocksDB state store provider: the state has a row per
+customer ever seen.
 """
 
 from __future__ import annotations
@@ -17,8 +32,10 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import (IntegerType, LongType, StringType, StructField, StructType,
+                               TimestampNTZType, TimestampType)
 
 from ..session import checkpoint_dir
 
@@ -27,26 +44,47 @@ def _output_schema(orders: DataFrame) -> StructType:
     return StructType(list(orders.schema.fields) + [StructField("rn", IntegerType())])
 
 
+def _number(pdf, seen: int, every: int, cols):
+    """Number ``pdf`` (already in order) from seen+1; the multiples of
+    ``every``, with their number."""
+    import numpy as np
+
+    rn = seen + np.arange(1, len(pdf) + 1)
+    hit = rn % every == 0
+    out = pdf.loc[hit].copy()
+    out["rn"] = rn[hit].astype("int32")
+    return out[cols]
+
+
 def every_nth_order_stream(orders: DataFrame, every: int = 3,
-                           key: str = "customer_code") -> DataFrame:
+                           key: str = "customer_code", watermark: str | None = None,
+                           time_col: str = "placed_at", tie: str = "order_id") -> DataFrame:
     """Streaming DataFrame of the orders that are each customer's n-th,
     2n-th, ... order, with their running number ``rn``."""
     schema = _output_schema(orders)
     cols = [f.name for f in schema.fields]
+    order_by = [time_col, tie]
+    if watermark is None:
+        return _arrival_order(orders, every, key, schema, cols, order_by)
+    # Watermarks need a TIMESTAMP; a wall-clock TIMESTAMP_NTZ is read in the
+    # session time zone.
+    ev = time_col
+    if isinstance(orders.schema[time_col].dataType, TimestampNTZType):
+        ev = "_event_time"
+        orders = orders.withColumn(ev, F.col(time_col).cast("timestamp"))
+    tz = orders.sparkSession.conf.get("spark.sql.session.timeZone")
+    return _event_time(orders.withWatermark(ev, watermark), every, key, schema, cols,
+                       order_by, ev, tz)
+
 
+def _arrival_order(orders, every, key, schema, cols, order_by):
     def step(k, batches, state):
-        import numpy as np
         import pandas as pd
 
         seen = state.get[0] if state.exists else 0
-        pdf = pd.concat(list(batches), ignore_index=True).sort_values(
-            ["placed_at", "order_id"], kind="stable")
-        rn = seen + np.arange(1, len(pdf) + 1)
+        pdf = pd.concat(list(batches), ignore_index=True).sort_values(order_by, kind="stable")
         state.update((int(seen + len(pdf)),))
-        hit = rn % every == 0
-        out = pdf.loc[hit].copy()
-        out["rn"] = rn[hit].astype("int32")
-        yield out[cols]
+        yield _number(pdf, seen, every, cols)
 
     return (orders.groupBy(key)
             .applyInPandasWithState(step, schema,
@@ -54,6 +92,49 @@ def every_nth_order_stream(orders: DataFrame, every: int = 3,
                                     "append", GroupStateTimeout.NoTimeout))
 
 
+def _event_time(orders, every, key, schema, cols, order_by, ev, tz):
+    in_cols = list(orders.columns)
+    ts_cols = [f.name for f in orders.schema.fields
+               if isinstance(f.dataType, (TimestampType, TimestampNTZType))]
+
+    def step(k, batches, state):
+        import pandas as pd
+
+        seen, pending_json = (state.get[0], state.get[1]) if state.exists else (0, None)
+        frames = [] if state.hasTimedOut else [b for b in batches if len(b)]
+        if pending_json:
+            pend = pd.read_json(pending_json, orient="split", dtype=False)
+            for c in ts_cols:
+                pend[c] = pd.to_datetime(pend[c], unit="us")
+            frames.insert(0, pend[in_cols])
+        if not frames:
+            return
+        pdf = pd.concat(frames, ignore_index=True).sort_values(order_by, kind="stable")
+        # pandas sees event times as session-local wall-clock time
+        wm_ms = state.getCurrentWatermarkMs()
+        wm = pd.Timestamp(wm_ms, unit="ms", tz="UTC").tz_convert(tz).tz_localize(None)
+        ready = pdf[pdf[ev] <= wm]
+        rest = pdf[pdf[ev] > wm]
+        seen = int(seen + len(ready))
+        if len(rest):
+            enc = rest.copy()
+            for c in ts_cols:
+                enc[c] = enc[c].astype("datetime64[us]").astype("int64")
+            state.update((seen, enc.to_json(orient="split", index=False)))
+            first = rest[ev].min().tz_localize(tz).value // 1_000_000
+            state.setTimeoutTimestamp(max(int(first), wm_ms + 1))
+        else:
+            state.update((seen, None))
+        if len(ready):
+            yield _number(ready, seen - len(ready), every, cols)
+
+    state_schema = StructType([StructField("seen", LongType()),
+                               StructField("pending", StringType())])
+    return (orders.groupBy(key)
+            .applyInPandasWithState(step, schema, state_schema, "append",
+                                    GroupStateTimeout.EventTimeTimeout))
+
+
 def run_once(spark: SparkSession, stream: DataFrame, table: str,
              checkpoint: str | None = None):
     """Drive a streaming query over everything currently available into an
