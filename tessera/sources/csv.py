@@ -22,6 +22,11 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None,
     failed job). ``schema`` is matched to headers by position; with
     ``normalise_names`` the headers are also lower-cased with blanks turned
     into underscores (``Ship Mode`` -> ``ship_mode``).
+
+    ``multiline=True`` allows quoted fields with line breaks (free-text
+    descriptions), but Spark cannot split such a file: each file is one
+    task, so large inputs should come as many files. Pass
+    ``multiline=False`` for one-record-per-line files, which split freely.
     """
     raw = (spark.read.option("header", True).option("multiLine", multiline)
                 .option("escape", '"').option("mode", "PERMISSIVE"))

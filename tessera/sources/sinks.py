@@ -25,7 +25,12 @@ def drop_table(spark: SparkSession, name: str) -> None:
 
 
 def save_jdbc(df: DataFrame, url: str, table: str, mode: str = "append",
-              properties: dict | None = None) -> None:
+              properties: dict | None = None, max_connections: int = 16,
+              batch_size: int = 10_000) -> None:
     """Append to a database table over JDBC (the driver jar must be on the
-    classpath)."""
-    df.write.jdbc(url, table, mode=mode, properties=properties or {})
+    classpath). Spark opens one connection per written partition; at most
+    ``max_connections`` are used (Spark coalesces down to it), with rows
+    sent in batches of ``batch_size``."""
+    props = {"numPartitions": str(max_connections), "batchsize": str(batch_size)}
+    props.update(properties or {})
+    df.write.jdbc(url, table, mode=mode, properties=props)
