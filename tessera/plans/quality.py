@@ -19,10 +19,11 @@ def null_tokens(spark: SparkSession, sf_dir: str, tokens) -> DataFrame:
 
 def rechunk_counts(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
     """Lines per chunk when the events records, in stored order, are split
-    into ``n`` balanced contiguous chunks, with each chunk's first and last
-    event id (showing order is kept)."""
-    lines = read_table(spark, sf_dir, "events").select("event_id")
-    return (assign_chunks(lines, n).groupBy("chunk")
+    into ``n`` balanced contiguous chunks (files in path order), with each
+    chunk's first and last event id (showing order is kept)."""
+    lines = read_table(spark, sf_dir, "events").select(
+        "event_id", F.col("_metadata.file_path").alias("_file"))
+    return (assign_chunks(lines, n, file_col="_file").groupBy("chunk")
             .agg(F.count(F.lit(1)).alias("n_lines"),
                  F.min("event_id").alias("first_event"),
                  F.max("event_id").alias("last_event")))
@@ -35,6 +36,7 @@ def table_file_audit(spark: SparkSession, sf_dir: str, size: bool = False) -> Da
 
 def invalid_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Malformed JSON among the events' semi-structured records, numbered
-    1.. in stored order."""
-    lines = read_table(spark, sf_dir, "events").select(F.col("props").alias("value"))
-    return invalid_json_lines(with_line_numbers(lines, "line_no", base=1))
+    1.. in stored order (files in path order)."""
+    lines = read_table(spark, sf_dir, "events").select(
+        F.col("props").alias("value"), F.col("_metadata.file_path").alias("_file"))
+    return invalid_json_lines(with_line_numbers(lines, "line_no", base=1, file_col="_file"))
