@@ -189,3 +189,29 @@ def test_table_sinks(spark):
     save_table(df, name, mode="append")
     assert sorted(tuple(r) for r in spark.table(name).collect()) == [(1, "a"), (1, "a"), (2, "b")]
     drop_table(spark, name)
+
+
+def test_chunks_property(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=12, deadline=None,
+              suppress_health_check=[HealthCheck.function_scoped_fixture])
+    @given(rows=st.integers(1, 400), parts=st.integers(1, 9), n=st.integers(1, 30))
+    def check(rows, parts, n):
+        df = spark.range(0, rows, 1, parts)
+        got = assign_chunks(df, n).select("id", "line_no", "chunk").collect()
+        assert sorted(r.line_no for r in got) == list(range(rows))
+        assert all(r.id == r.line_no for r in got)
+        by = {}
+        for r in got:
+            by.setdefault(r.chunk, []).append(r.id)
+        sizes = [len(v) for v in by.values()]
+        assert sum(sizes) == rows and max(sizes) - min(sizes) <= 1
+        assert len(by) == min(n, rows)
+        # contiguous and in order: chunk c's ids all precede chunk c+1's
+        ordered = sorted(by)
+        for a, b in zip(ordered, ordered[1:]):
+            assert max(by[a]) < min(by[b])
+
+    check()
