@@ -173,3 +173,34 @@ def test_sentiment_inline_filter_matches_full_explode(spark, monkeypatch):
     assert got == sorted((r.doc_id, r.polarity, r.sentiment) for r in full.collect())
     assert [(d, s) for d, _, s in got] == [(1, "Positive"), (2, "Neutral"), (3, "Neutral"),
                                            (4, "Neutral"), (5, "Negative")]
+
+
+def test_money_property_against_python_decimal(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    from tessera.functions.numeric import sum_units
+
+    row = st.tuples(st.integers(0, 10**9), st.integers(0, 100), st.integers(0, 10**9))
+
+    @settings(max_examples=6, deadline=None,
+              suppress_health_check=[HealthCheck.function_scoped_fixture])
+    @given(rows=st.lists(row, min_size=1, max_size=200), scale=st.sampled_from([0, 2]))
+    def check(rows, scale):
+        df = spark.createDataFrame([(i % 3, *r) for i, r in enumerate(rows)],
+                                   "g int, list_price long, discount_percent int, cost_price long")
+        out = derive_profit(df, price_scale=scale, drop_inputs=False).collect()
+        q = Decimal(1).scaleb(-scale)
+        for r in out:
+            lp, cp = Decimal(r.list_price) * q, Decimal(r.cost_price) * q
+            disc = lp * r.discount_percent * Decimal("0.01")
+            assert (r.discount, r.sale_price, r.profit) == (disc, lp - disc, lp - disc - cp)
+        from tessera.operators.cleanse import profit_units
+        tot = {r.g: r.t for r in profit_units(df).groupBy("g").agg(
+            sum_units(F.col("profit_u"), scale + 2).alias("t")).collect()}
+        want = {}
+        for r in out:
+            want[r.g] = want.get(r.g, Decimal(0)) + r.profit
+        assert tot == want
+
+    check()
