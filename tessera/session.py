@@ -28,6 +28,32 @@ DEFAULT_CONF = {
 }
 
 
+_MB = 1 << 20
+
+
+def cluster_settings(total_cores: int, input_bytes: int) -> dict[str, str]:
+    """Partition sizing for a cluster run, from the total executor cores and
+    the bytes the job scans.
+
+    * scan splits of 128 MB, 256 MB once the input passes 10 TB (fewer,
+      still memory-safe tasks);
+    * an initial shuffle width of about one partition per 512 MB of input
+      (at least 3 per core), which AQE coalesces toward 256 MB partitions, so
+      a 100 TB scan starts near 200k shuffle partitions rather than 200;
+    * a skewed partition is one over 1 GB and 5x the median; AQE splits it.
+    """
+    split = 256 * _MB if input_bytes > 10 * (1 << 40) else 128 * _MB
+    width = max(3 * total_cores, input_bytes // (512 * _MB))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(width),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * _MB),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * _MB),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    }
+
+
 def get_session(master: str | None = None, app: str = "tessera",
                 shuffle_partitions: int | None = None,
                 conf: dict | None = None) -> SparkSession:

@@ -204,3 +204,13 @@ def test_money_property_against_python_decimal(spark):
         assert tot == want
 
     check()
+
+
+def test_cluster_settings_scale_with_input():
+    from tessera.session import cluster_settings
+
+    small = cluster_settings(8, 10 << 20)
+    assert small["spark.sql.shuffle.partitions"] == "24"
+    big = cluster_settings(8000, 100 << 40)
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2048
+    assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
