@@ -57,3 +57,13 @@ def test_no_python_in_any_query(spark):
     for name in queries():
         p = plan(spark, name)
         assert "EvalPython" not in p and "FlatMapGroupsInPandas" not in p, name
+
+
+@pytest.mark.parametrize("name", ["top_products", "month_over_year", "top_profit_growth"])
+def test_money_is_long_per_row_decimal_per_group(spark, name):
+    """Per-row money stays long arithmetic in the scan stage; only the
+    partial sums take decimals (no per-row decimal multiply)."""
+    df = queries()[name](spark, SF_SMALL)
+    p = df._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum(" in p and "as decimal(18,0))" in p
+    assert "decimal(12,2)" not in p and "0.01" not in p
