@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import line_dedup, url_lists, warc
+from tessera.llm import line_dedup, token_pack, url_lists, warc
 from tessera.sources.tables import read_table
 
 
@@ -12,6 +12,7 @@ def _on(table, operator):
 
 QUERIES = {
     "op1_warc_archive": _on("pages", warc.op1_warc_archive),
+    "op2_token_pack": token_pack.op2_token_pack,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_url_lists": url_lists.op5_url_lists,
 }
