@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import line_dedup, token_pack, url_lists, warc
+from tessera.llm import jaccard_join, line_dedup, token_pack, url_lists, warc
 from tessera.sources.tables import read_table
 
 
@@ -15,6 +15,7 @@ QUERIES = {
     "op2_token_pack": token_pack.op2_token_pack,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_url_lists": url_lists.op5_url_lists,
+    "op8_jaccard_join": jaccard_join.op8_jaccard_join,
 }
 
 ORACLE = {
