@@ -26,7 +26,9 @@ ignored.
 
 from __future__ import annotations
 
+import functools
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -48,9 +50,9 @@ HEADER = struct.Struct("<4sIIQQ")
 BLOCK = 1 << 16
 SHARD_CHARS = 64 << 20
 NULL_ID = -(1 << 63)
-CACHED_WORDS = 1 << 20
+CACHED_WORDS = 1_400_000
 CACHED_WORD_BYTES = 48
-DOCS_AT_ONCE = 64
+DOCS_AT_ONCE = 256
 
 
 def vocabulary_bits(size: int) -> int:
@@ -77,17 +79,23 @@ def unpack(data: bytes, n: int, bits: int) -> np.ndarray:
     return ((window >> (at & 7).astype(np.uint64)) & np.uint64((1 << bits) - 1)).astype(np.uint32)
 
 
+#: No token holds both a letter and one of these, so a cut between them changes nothing.
+CUT = re.compile(rb"(?<=[a-z])(?=[.,])")
+
+
 class WordEncoder:
     """Ids of whole texts, word by word. The vocabulary drops white space and
     no token spans it, so a text's ids are its words' ids in turn; distinct
-    words are encoded once and kept, up to a bounded number."""
+    words are encoded once and kept in two generations of bounded size: when
+    the young one is full, the old one goes."""
 
     def __init__(self, path: str, cached_words: int = CACHED_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.cached_words = cached_words
-        self.known: dict[bytes, bytes] = {}
+        self.generation = cached_words // 2
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     @property
     def vocabulary(self) -> int:
@@ -97,23 +105,39 @@ class WordEncoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
+    def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of all ``words``, as a dictionary that holds at least them."""
+        if len(self.young) > self.generation:
+            self.young, self.old = {}, self.young
+        passing: dict[bytes, bytes] = {}
+        missing = []
+        for word in words - self.young.keys():
+            if (ids := self.old.get(word)) is None:
+                missing.append(word)
+            else:
+                self.young[word] = ids
+        for k in range(0, len(missing), 4096):
+            part = missing[k:k + 4096]
+            for word, ids in zip(part, self._ids([w.decode("utf-8") for w in part]), strict=True):
+                (self.young if len(word) <= CACHED_WORD_BYTES else passing)[word] = ids
+        return {**self.young, **passing} if passing else self.young
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian uint32."""
         # special tokens are matched with case, in the text as it is
-        words = [x.encode("utf-8").lower().split() if "<|" not in x else None for x in texts]
-        if len(self.known) > self.cached_words:
-            self.known.clear()
-        new = list({w for x in words if x for w in x} - self.known.keys())
-        passing: dict[bytes, bytes] = {}
-        for k in range(0, len(new), 4096):
-            part = new[k:k + 4096]
-            for word, ids in zip(part, self._ids([w.decode("utf-8") for w in part]), strict=True):
-                (self.known if len(word) <= CACHED_WORD_BYTES else passing)[word] = ids
-        known = {**self.known, **passing} if passing else self.known
+        words = [CUT.sub(b" ", x.encode("utf-8").lower()).split() if "<|" not in x else None
+                 for x in texts]
+        known = self._learn({w for x in words if x for w in x})
         return [self._ids([text])[0] if x is None else b"".join([known[w] for w in x])
                 for text, x in zip(texts, words, strict=True)]
 
 
+@functools.lru_cache(maxsize=1)
+def word_encoder(path: str) -> WordEncoder:
+    """One encoder per worker process: its words serve all the tasks it runs."""
+    return WordEncoder(path)
+
+
 def write_shard(path: str, docs: Iterator[tuple[int, np.ndarray]], bits: int) -> tuple[int, int]:
     """Write one shard file; returns its documents and ids. Packed blocks are
     gathered as they fill, so memory holds packed ids only."""
@@ -212,7 +236,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_c
     shards = max(width(docs.sparkSession), chars // SHARD_CHARS)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer)
+        encoder = word_encoder(tokenizer)
         bits = vocabulary_bits(max(encoder.vocabulary, end_id + 1))
         end = np.array([end_id], np.uint32)
 
