@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +18,21 @@ ASCII_SPACE = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers: the code is sent with
+    the job unless the workers' path holds it already."""
+    root = Path(__file__).resolve().parents[2]
+    sc = spark.sparkContext
+    if str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or getattr(sc, "_tessera_sent", False):
+        return
+    name = Path(tempfile.mkdtemp()) / "tessera.zip"
+    with zipfile.ZipFile(name, "w") as out:
+        for file in sorted((root / "tessera").rglob("*.py")):
+            out.write(file, file.relative_to(root))
+    sc.addPyFile(str(name))
+    sc._tessera_sent = True
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new folder name under the cluster's shared ``spark.checkpoint.dir``."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -51,6 +70,14 @@ def with_fields(schema: T.StructType, *fields: T.StructField) -> T.StructType:
     return T.StructType([f for f in schema.fields if f.name not in names] + list(fields))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def is_small(df: DataFrame, max_rows: int) -> bool:
     """Whether ``df`` has at most ``max_rows`` rows; reads no more than that."""
     return df.limit(max_rows + 1).count() <= max_rows

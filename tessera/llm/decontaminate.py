@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import broadcast_if_small, text_or_empty
+from tessera.llm.common import broadcast_if_small, fresh, text_or_empty
 from tessera.sources.tables import read_table
 
 WINDOW = 8
@@ -146,6 +146,7 @@ def op3_decontamination(spark, sf_dir) -> DataFrame:
 
 def pipeline_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    held = contaminated_pairs(docs, read_table(spark, sf_dir, "benchmark")).select(F.col("rid").alias("__rid")).distinct()
-    return docs.withColumn("__rid", F.xxhash64("doc_id", "text")).join(held, "__rid", "left_anti").select(
+    rid = fresh(docs, "rid")
+    held = contaminated_pairs(docs, read_table(spark, sf_dir, "benchmark")).select(F.col("rid").alias(rid)).distinct()
+    return docs.withColumn(rid, F.xxhash64("doc_id", "text")).join(held, rid, "left_anti").select(
         *[f"`{c}`" for c in docs.columns])

@@ -6,13 +6,14 @@ link directly or through others get the same component.
 
 Candidates. Sets fall into bands of sizes, each ``q/p`` times the one before,
 so linked sets lie in one band or in neighbours; tile ``b`` covers the pairs
-whose smaller set is in band ``b``. Linked sets of a tile differ in at most
-``D`` elements. Their elements are dealt by hash into ``D + 1 + slack``
-classes, so at least ``1 + slack`` classes agree wholly; a set with at most
-``slack`` empty classes therefore agrees with any linked set in a class that
-holds something. Every set posts a hash of each non-empty class, and a set
-with more empty classes posts those too: linked sets share a posting, always,
-while documents that merely have a line or passage in common hardly ever do.
+whose smaller set is in band ``b``. All n-grams are brought into one order,
+rare ones first: a fixed number of counters, chosen by hash, is filled from
+all documents, and n-grams of small counters come first. Two linked sets share
+an element among the first ``|A| - ceil(p/q |A|) + 1`` of each in any common
+order, so each set posts those for the tiles of its band: linked sets share a
+posting, always, while documents that merely have a frequent line or passage
+in common do not. The counters only set the order; results do not depend on
+them.
 
 Postings are combined before the shuffle: a task sends each class hash once,
 with the smallest document that has it, and equal sets within a task are
@@ -44,13 +45,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import stored, text_or_empty
+from tessera.llm.common import ship_package, stored, text_or_empty
 from tessera.llm.components import connected_components
 from tessera.sources.tables import read_table
 
 BLOCK = 64
 BLOCK_SHINGLES = 2 << 20
+WIDE_BLOCK = 1024
 FLUSH_POSTINGS = 1 << 20
+COUNTER_BITS = 18
 POSTING, CANDIDATE, COPY, SIZE = range(4)
 _C1, _C2, _C3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -95,42 +98,52 @@ class Bands:
             self._grow(size)
         return int(np.searchsorted(self.lows, size, "right")) - 1
 
-    def classes(self, tile: int) -> tuple[int, int]:
-        """(number of classes, slack) of a tile; 0 classes where only equal
-        sets can link."""
-        if tile + 1 >= len(self.lows):
-            self._grow(int(self.lows[-1]) * 2)
-        largest = int(self.lows[tile + 1]) - 1
-        differ = (self.q - self.p) * (largest + largest * self.q // self.p) // (self.q + self.p)
-        if not differ:
-            return 1, 0
-        slack = 1 + differ // 32 if differ >= 3 else 0
-        return differ + 1 + slack, slack
+    def prefix(self, size: int) -> int:
+        """How many first elements a set of this size posts."""
+        return size - -(-self.p * size // self.q) + 1
 
     def needed(self, a: int | np.ndarray, b: int | np.ndarray) -> int | np.ndarray:
         """Smallest overlap of linked sets of these sizes."""
         return -(-self.p * (a + b) // (self.p + self.q))
 
 
-def postings(elements: np.ndarray, bands: Bands) -> np.ndarray:
-    """Class hashes that a set posts, for the tiles of its band."""
-    out = []
+def rare_first(elements: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+    """The elements under a one-to-one map whose order puts those of small
+    counters first: the counter's number gives way to its rank."""
+    low = np.uint64(64 - COUNTER_BITS)
+    return (ranks[(elements >> low).astype(np.int64)] << low) | (elements & ((np.uint64(1) << low) - np.uint64(1)))
+
+
+def postings(elements: np.ndarray, bands: Bands, ranks: np.ndarray) -> np.ndarray:
+    """Hashes that a set posts, for the tiles of its band."""
+    n = min(bands.prefix(len(elements)), len(elements))
+    first = rare_first(elements, ranks)
+    if n < len(first):
+        first = np.partition(first, n - 1)[:n]
     band = bands.band(len(elements))
-    mixed = _mix(elements)
-    for tile in (band - 1, band):
-        if tile < 0:
-            continue
-        n, slack = bands.classes(tile)
-        dealt = (elements % np.uint64(n)).astype(np.int64)
-        order = np.argsort(dealt, kind="stable")
-        held, starts = np.unique(dealt[order], return_index=True)
-        sums = np.add.reduceat(mixed[order], starts)
-        label = np.uint64(tile << 32)
-        out.append(_mix((sums ^ _mix(held.astype(np.uint64) + label)) + _C1))
-        if n - len(held) > slack:
-            empty = np.setdiff1d(np.arange(n), held)
-            out.append(_mix(empty.astype(np.uint64) + label) ^ _C3)
-    return np.concatenate(out) if out else np.empty(0, np.uint64)
+    return np.concatenate([_mix(first ^ _mix(np.full(1, tile + 1, np.uint64))) for tile in (band - 1, band) if tile >= 0])
+
+
+def frequency_ranks(rows: DataFrame, n: int) -> np.ndarray:
+    """Rank of each counter by the number of n-grams that all documents put
+    into it; 2 ** COUNTER_BITS rows, whatever the size of the corpus."""
+    size, low = 1 << COUNTER_BITS, np.uint64(64 - COUNTER_BITS)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size, np.int64)
+        for batch in batches:
+            for text in batch["text"].to_pylist():
+                np.add.at(total, (shingles(text, n) >> low).astype(np.int64), 1)
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["counter", "n"])
+
+    found = (rows.select("text").mapInArrow(count, "counter long, n long")
+             .groupBy("counter").agg(F.sum("n").alias("n")).toArrow())
+    counts = np.zeros(size, np.int64)
+    counts[found["counter"].to_numpy()] = found["n"].to_numpy()
+    ranks = np.empty(size, np.uint64)
+    ranks[np.argsort(counts, kind="stable")] = np.arange(size, dtype=np.uint64)
+    return ranks
 
 
 def _found(kind: int, key: np.ndarray, a, b) -> pa.RecordBatch:
@@ -144,7 +157,8 @@ def _pairs(kind: int, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return _found(kind, _mix(a.astype(np.uint64) * _C1 + b.astype(np.uint64)), pa.array(a), pa.array(b))
 
 
-def candidate_rows(batches: Iterator[pa.RecordBatch], n: int, p: int, q: int) -> Iterator[pa.RecordBatch]:
+def candidate_rows(batches: Iterator[pa.RecordBatch], n: int, p: int, q: int,
+                   ranks: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Of (id, text) rows: postings (key, smallest id), candidate pairs and
     copies (pairs of ids) and sizes (id, set size)."""
     bands = Bands(p, q)
@@ -178,7 +192,7 @@ def candidate_rows(batches: Iterator[pa.RecordBatch], n: int, p: int, q: int) ->
             if (copy := copies.setdefault(digest, doc)) != doc:
                 same.append((copy, doc))
             else:
-                keys.append(postings(elements, bands))
+                keys.append(postings(elements, bands, ranks))
                 ids.append(doc)
                 held += len(keys[-1])
             if held >= FLUSH_POSTINGS:
@@ -241,7 +255,8 @@ def _resolve(members: DataFrame, docs: DataFrame, n: int, p: int, q: int) -> Dat
         return pa.table({"a": pa.array([x[0] for x in links], pa.int64()),
                          "b": pa.array([x[1] for x in links], pa.int64())})
 
-    return (members.join(docs, "id").groupBy("cluster", "block")
+    # one plan at every size: the members are never broadcast
+    return (members.hint("merge").join(docs, "id").groupBy("cluster", "block")
             .applyInArrow(resolve, "a long, b long"))
 
 
@@ -257,8 +272,10 @@ def _blocks(members: DataFrame, sizes: DataFrame) -> DataFrame:
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4,
                        p: int = 85, q: int = 100) -> DataFrame:
     """(doc_id, n_shingles, component_id), a row per row of ``docs``."""
+    ship_package(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
-    raw = rows.mapInArrow(lambda batches: candidate_rows(batches, n, p, q),
+    ranks = docs.sparkSession.sparkContext.broadcast(frequency_ranks(rows, n))
+    raw = rows.mapInArrow(lambda batches: candidate_rows(batches, n, p, q, ranks.value),
                           "kind byte, key long, a long, b long")
     chained = raw.withColumn("b", F.coalesce("b", F.expr(
         "lag(a) over (partition by key, kind order by a)"))).where("b is not null").select("kind", "a", "b")
@@ -280,29 +297,32 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     first = stored(_resolve(members.select("cluster", "block", "id", F.col("id").alias("label"),
                                            F.lit(0).alias("side")), texts, n, p, q), "jaccard-links")
 
-    # clusters of several blocks that are not one component yet
+    # clusters of several blocks that are not one component yet: each wide
+    # block against each group of documents outside the largest component
     labels = connected_components(first)
-    wide = placed.where("blocks > 1").join(
+    several = placed.where("blocks > 1").select("cluster", "id", "size").join(
         labels.withColumnRenamed("component", "label"), "id", "left").withColumn(
         "label", F.coalesce("label", "id"))
-    parts = wide.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("docs"))
-    largest = parts.groupBy("cluster").agg(F.max(F.struct("docs", "label")).alias("top"),
-                                           F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    apart = stored(wide.join(largest.select("cluster", F.col("top.label").alias("main")), "cluster"),
+    parts = several.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("docs"))
+    main = parts.groupBy("cluster").agg(F.max(F.struct("docs", "label")).alias("top"),
+                                        F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    apart = stored(several.join(main.select("cluster", F.col("top.label").alias("main")), "cluster"),
                    "jaccard-apart")
     links = first
     if not apart.isEmpty():
-        out = apart.where("label <> main")
-        groups = out.groupBy("cluster").agg(F.greatest(
-            F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("size") / BLOCK_SHINGLES)).cast("int").alias("groups"))
-        # tile (block i, group j): documents of block i against group j of those outside
-        here = apart.join(groups, "cluster").select(
-            "cluster", "id", "label", F.lit(1).alias("side"), "block",
-            F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("group"))
-        there = out.join(groups, "cluster").select(
-            "cluster", "id", "label", F.lit(0).alias("side"),
-            F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
-            F.pmod(F.xxhash64("id"), F.col("groups")).cast("int").alias("group"))
+        outside = apart.where("label <> main")
+        n_parts = lambda rows, name: rows.groupBy("cluster").agg(F.greatest(
+            F.ceil(F.count(F.lit(1)) / WIDE_BLOCK),
+            F.ceil(F.sum("size") / BLOCK_SHINGLES)).cast("int").alias(name))
+        counts = n_parts(apart, "blocks").join(n_parts(outside, "groups"), "cluster")
+        spread = lambda name: F.explode(F.sequence(F.lit(0), F.col(name) - 1))
+        own = lambda name: F.pmod(F.xxhash64("id"), F.col(name)).cast("int")
+        here = apart.join(counts, "cluster").select(
+            "cluster", "id", "label", F.lit(1).alias("side"), own("blocks").alias("block"),
+            spread("groups").alias("group"))
+        there = outside.join(counts, "cluster").select(
+            "cluster", "id", "label", F.lit(0).alias("side"), spread("blocks").alias("block"),
+            own("groups").alias("group"))
         tiles = (here.unionByName(there).groupBy("cluster", "id", "label", "block", "group")
                  .agg(F.min("side").alias("side"))
                  .withColumn("block", F.struct("block", "group")).drop("group"))

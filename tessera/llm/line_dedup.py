@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import replaced, stored, text_or_empty, width, with_fields
+from tessera.llm.common import fresh, replaced, ship_package, stored, text_or_empty, width, with_fields
 from tessera.sources.tables import read_table
 
 MIN_CHARS = 10
@@ -231,6 +231,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 counts: tuple[str, str] = ("n_lines", "n_dropped")) -> DataFrame:
     """``docs`` with repeated lines taken out of ``text_col``, and two counts:
     lines before, lines dropped."""
+    ship_package(docs.sparkSession)
     spark = docs.sparkSession
     n_lines, chars = docs.agg(
         F.sum(F.length(text_col) - F.length(F.replace(F.col(text_col), F.lit("\n"), F.lit(""))) + 1),
@@ -262,9 +263,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return pa.table({f.name: new[f.name] if f.name in new else rows[f.name]
                          for f in out.fields})
 
+    bucket = fresh(docs, "bucket")
     rows = docs.select(*[f"`{f.name}`" for f in kept.fields],
-                       _bucket(id_col, text_col, buckets).alias("__bucket"))
-    return rows.groupBy("__bucket").cogroup(hits.groupBy("bucket")).applyInArrow(drop, out)
+                       _bucket(id_col, text_col, buckets).alias(bucket))
+    return rows.groupBy(bucket).cogroup(hits.groupBy("bucket")).applyInArrow(drop, out)
 
 
 def op4_line_dedup(spark, sf_dir) -> DataFrame:
@@ -276,7 +278,7 @@ def op4_line_dedup(spark, sf_dir) -> DataFrame:
 
 def pipeline_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with repeated lines dropped; ``n_chars`` follows the text."""
-    kept = dedup_lines(docs, counts=("__n_lines", "__n_dropped")).select(
+    kept = dedup_lines(docs, counts=(fresh(docs, "n_lines"), fresh(docs, "n_dropped"))).select(
         *[f"`{c}`" for c in docs.columns])
     return replaced(kept, "n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 

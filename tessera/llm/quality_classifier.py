@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import ship_package, text_or_empty
+from tessera.llm.common import fresh, ship_package, text_or_empty
 from tessera.sources.tables import read_table
 
 BITS = 18
@@ -46,7 +46,7 @@ SHARDS = 8
 ROUNDS = 3
 THRESHOLD = 0.7
 ALPHA, BETA, L1, L2 = 0.2, 1.0, 1e-3, 1e-3
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 1 << 16
 HELD_OUT = 2
 
 WORD = re.compile(r"[^\W\d_]+|\d+|[^\w\s]|_")
@@ -208,5 +208,6 @@ def op6_quality_classifier(spark, sf_dir) -> DataFrame:
 def pipeline_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored at the threshold or above."""
     weights = train(docs, read_table(spark, sf_dir, "labels"))
-    return score_texts(docs, weights, score_col="__score").where(
-        F.col("__score") >= THRESHOLD).select(*[f"`{c}`" for c in docs.columns])
+    score = fresh(docs, "score")
+    return score_texts(docs, weights, score_col=score).where(
+        F.col(score) >= THRESHOLD).select(*[f"`{c}`" for c in docs.columns])

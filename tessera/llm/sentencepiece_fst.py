@@ -31,6 +31,7 @@ character map are accepted (others raise an error). The space symbol itself
 from __future__ import annotations
 
 import functools
+import hashlib
 import math
 import re
 import struct
@@ -48,7 +49,8 @@ from tessera.sources.tables import read_table
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)
 UNIGRAM, BPE = 1, 2
-KEPT_PARTS = 1_000_000
+KEPT_PARTS = 500_000
+KEPT_PAIRS = 300_000
 KEPT_LENGTH = 48
 
 
@@ -143,7 +145,7 @@ class Transducer:
         self.parts = None if inner else re.compile(f"{SPACE}+[^{word}]*|[^{word}]+" + ("" if ends else "|\n"))
         # what a character without a piece weighs in a unigram model
         self.unseen = 10.0 - min(m.scores, default=0.0) if m.kind == UNIGRAM else 0.0
-        self.follows: dict[tuple[int, int], bool] = {}
+        self.follows: dict[int, float] = {}
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.spellings = [bytes([int(p[3:5], 16)]) if k == BYTE else b"" if k in (CONTROL, UNUSED)
@@ -179,18 +181,15 @@ class Transducer:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def _weight(self, last: int, piece: int) -> float:
-        """Weight of an arc that writes ``piece`` in the state after ``last``
-        (-1: no piece or bytes before)."""
-        if self.model.kind == UNIGRAM:
-            return -self.model.scores[piece]
-        pair = (last, piece)
-        if (ok := self.follows.get(pair)) is None:
-            if len(self.follows) > KEPT_PARTS:
-                self.follows.clear()
-            a, b = self.model.pieces[last] if last >= 0 else "", self.model.pieces[piece]
-            ok = self.follows[pair] = self._merged(a + b) == ([a, b] if a else [b])
-        return 0.0 if ok else math.inf
+    def _following(self, last: int, piece: int) -> float:
+        """Weight of an arc of a BPE model that writes ``piece`` in the state
+        after ``last`` (-1: no piece, or bytes, before)."""
+        if len(self.follows) > KEPT_PAIRS:
+            self.follows.clear()
+        a, b = self.model.pieces[last] if last >= 0 else "", self.model.pieces[piece]
+        weight = 0.0 if self._merged(a + b) == ([a, b] if a else [b]) else math.inf
+        self.follows[last * len(self.model.pieces) + piece] = weight
+        return weight
 
     # --------------------------------------------------------- shortest path
 
@@ -201,7 +200,7 @@ class Transducer:
         cost[0] = 0.0
         state = [-1] * (n + 1)  # last piece of the best path to a position
         back: list[tuple[int, tuple[int, ...]]] = [(0, ())] * (n + 1)
-        bpe = self.model.kind == BPE
+        bpe, scores, follows, n_pieces = self.model.kind == BPE, self.model.scores, self.follows, len(self.model.pieces)
         for at in range(n):
             if cost[at] == math.inf:
                 continue
@@ -213,9 +212,13 @@ class Transducer:
                 if piece is None:
                     continue
                 single = single or end == at + 1
-                if bpe and cost[end] == 0.0:
+                if not bpe:
+                    weight = -scores[piece]
+                elif cost[end] == 0.0:
                     continue  # the one path to this position is known
-                total = cost[at] + self._weight(state[at], piece)
+                elif (weight := follows.get(state[at] * n_pieces + piece)) is None:
+                    weight = self._following(state[at], piece)
+                total = cost[at] + weight
                 if total < cost[end]:
                     cost[end], state[end], back[end] = total, piece, (at, (piece,))
             if not single:  # a character without a piece: bytes, or unknown
@@ -317,14 +320,29 @@ def _model_path(model: str | None) -> str:
 
 
 def encoded_documents(docs: DataFrame, model: str | None = None) -> DataFrame:
-    """doc_id, ids, n_ids and the digest of the decoded text of every document."""
+    """doc_id, n_ids, ids, the digest of the text decoded from them and
+    whether it is the document's, for every document. Encoding and decoding
+    share a worker and so its compiled machine."""
     path = _model_path(model)
-    rows = docs.select("doc_id", text_or_empty("text").alias("text"))
-    decoded = decode_ids(encode_texts(rows, path), path)
-    return decoded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_ids"), "ids",
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-        (F.col("decoded") == F.replace(F.col("text"), F.lit(SPACE), F.lit(" "))).alias("round_trip"))
+    ship_package(docs.sparkSession)
+
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = transducer(path)
+        for batch in batches:
+            texts = batch["text"].to_pylist()
+            found = [machine.encode(t) for t in texts]
+            decoded = [machine.decode(ids) for ids in found]
+            ends = pa.array(np.cumsum([0, *map(len, found)]).astype(np.int32))
+            flat = np.concatenate(found) if found else np.empty(0, np.int32)
+            yield pa.RecordBatch.from_arrays([
+                batch["doc_id"], pa.array([len(x) for x in found], pa.int64()),
+                pa.ListArray.from_arrays(ends, pa.array(flat, pa.int32())),
+                pa.array([hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in decoded]),
+                pa.array([t == d or t.replace(SPACE, " ") == d for t, d in zip(texts, decoded, strict=True)], pa.bool_()),
+            ], ["doc_id", "n_ids", "ids", "decoded_sha256", "round_trip"])
+
+    return docs.select("doc_id", text_or_empty("text").alias("text")).mapInArrow(
+        both, "doc_id long, n_ids long, ids array<int>, decoded_sha256 string, round_trip boolean")
 
 
 def op9_sentencepiece(spark, sf_dir) -> DataFrame:

@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import shared_path, stored, text_or_empty, width
+from tessera.llm.common import shared_path, ship_package, stored, text_or_empty, width
 from tessera.operators.prefix import totals_before
 from tessera.sources.tables import read_table
 
@@ -50,7 +50,7 @@ HEADER = struct.Struct("<4sIIQQ")
 BLOCK = 1 << 16
 SHARD_CHARS = 64 << 20
 NULL_ID = -(1 << 63)
-CACHED_WORDS = 1_400_000
+CACHED_WORDS = 1_200_000
 CACHED_WORD_BYTES = 48
 DOCS_AT_ONCE = 256
 
@@ -231,6 +231,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_c
     """Encode and write all documents under ``folder``. Returns the manifest:
     (shard, path, n_docs, n_ids, start), a row per file, ``start`` being the
     ids in all shards before it."""
+    ship_package(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     shards = max(width(docs.sparkSession), chars // SHARD_CHARS)
