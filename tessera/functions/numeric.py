@@ -12,7 +12,10 @@ TOTAL = "decimal(38,4)"
 
 
 def units_to_money(units: Column, scale: int) -> Column:
-    """An exact integer amount in units of 10**-scale as ``MONEY``."""
+    """An exact integer amount in units of 10**-scale as ``MONEY``; beyond its
+    four places as ``decimal(38, scale)``."""
+    if scale > 4:
+        return (units.cast("decimal(18,0)") * F.lit(Decimal(1).scaleb(-scale))).cast(f"decimal(38,{scale})")
     # a multiply by an exact power of ten: cheaper than a decimal divide
     return (units.cast("decimal(18,0)") * F.lit(Decimal(1).scaleb(-scale))).cast(MONEY)
 
@@ -31,6 +34,7 @@ def percent(numerator: Column, denominator: Column, precision: int = 5,
     """``cast(n * 100.00 / d as decimal(5,2))``.
 
     ``decimal(4,2)`` cannot hold 100.00, so the default is ``decimal(5,2)``.
+    A zero denominator gives null.
     """
-    return (numerator * F.lit(Decimal(hundred)) / denominator).cast(
+    return (numerator * F.lit(Decimal(hundred)) / F.nullif(denominator, F.lit(0))).cast(
         f"decimal({precision},{scale})")

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ByteType, DecimalType, IntegerType, LongType, ShortType, StringType
 
 from ..functions.numeric import units_to_money
 from .topk import top_k_per_group
@@ -25,23 +26,49 @@ def replace_null_tokens(df: DataFrame, tokens: Sequence[str],
         for c in df.columns])
 
 
+def _scale(df: DataFrame, name: str, integer_scale: int) -> int:
+    """Decimal places of an exact column; binary fractions are refused."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, DecimalType):
+        return kind.scale
+    if isinstance(kind, (ByteType, ShortType, IntegerType, LongType)):
+        return integer_scale
+    raise TypeError(f"{name} is {kind.simpleString()}: cast it to an exact decimal first")
+
+
+def _units(df: DataFrame, name: str, scale: int, integer_scale: int) -> Column:
+    """The column as long units of 10**-scale; nothing is cut off."""
+    col, own = F.col(name), _scale(df, name, integer_scale)
+    if isinstance(df.schema[name].dataType, DecimalType):
+        col = col * F.lit(Decimal(10) ** own)
+    return col.cast("long") * F.lit(10 ** (scale - own))
+
+
+def profit_scales(df: DataFrame, list_price: str = "list_price", discount_percent: str = "discount_percent",
+                  cost_price: str = "cost_price", price_scale: int = 0) -> tuple[int, int]:
+    """(decimal places of the prices, of the percent)."""
+    prices = [c for c in (list_price, cost_price) if c in df.columns]
+    return max(_scale(df, c, price_scale) for c in prices), _scale(df, discount_percent, 0)
+
+
 def profit_units(df: DataFrame, list_price: str = "list_price",
                  discount_percent: str = "discount_percent",
-                 cost_price: str = "cost_price") -> DataFrame:
+                 cost_price: str = "cost_price", price_scale: int = 0) -> DataFrame:
     """Adds ``discount_u``, ``sale_u`` (and ``profit_u`` when there is a cost
-    column): exact long amounts in units of 10**-(s+2), for integer prices in
-    units of 10**-s and a whole-number discount percent.
+    column): exact long amounts in units of 10**-(p+d+2), p and d being the
+    decimal places of prices and percent.
 
     discount = list x pct x 0.01, sale = list - discount, profit = sale -
     cost, all in long arithmetic -- no per-row decimal multiply, which Spark
-    evaluates through BigDecimal.
+    evaluates through BigDecimal. Integer prices count 10**-price_scale;
+    decimals have their own scale; floats raise a TypeError.
     """
-    lp = F.col(list_price).cast("long")
-    out = (df.withColumn("discount_u", lp * F.col(discount_percent).cast("long"))
-             .withColumn("sale_u", lp * F.lit(100) - F.col("discount_u")))
+    p, d = profit_scales(df, list_price, discount_percent, cost_price, price_scale)
+    price, whole = _units(df, list_price, p, price_scale), F.lit(10 ** (d + 2))
+    out = (df.withColumn("discount_u", price * _units(df, discount_percent, d, 0))
+             .withColumn("sale_u", price * whole - F.col("discount_u")))
     if cost_price in df.columns:
-        out = out.withColumn("profit_u",
-                             F.col("sale_u") - F.col(cost_price).cast("long") * F.lit(100))
+        out = out.withColumn("profit_u", F.col("sale_u") - _units(df, cost_price, p, price_scale) * whole)
     return out
 
 
@@ -50,14 +77,13 @@ def derive_profit(df: DataFrame, list_price: str = "list_price",
                   cost_price: str = "cost_price", drop_inputs: bool = True,
                   price_scale: int = 0) -> DataFrame:
     """discount = list x pct x 0.01; sale = list - discount; profit = sale - cost,
-    as ``MONEY``, exact.
+    exact: ``MONEY``, or ``decimal(38, s)`` where that has too few places.
 
-    Prices are integers in units of 10**-price_scale (whole currency units
-    when 0, cents when 2), the discount a whole percent. Exact for
-    ``price_scale <= 2``.
+    Prices and percent are decimals or integers (integer prices in units of
+    10**-price_scale: whole currency units when 0, cents when 2).
     """
-    scale = price_scale + 2
-    units = profit_units(df, list_price, discount_percent, cost_price)
+    scale = sum(profit_scales(df, list_price, discount_percent, cost_price, price_scale)) + 2
+    units = profit_units(df, list_price, discount_percent, cost_price, price_scale)
     out = (units.withColumn("discount", units_to_money(F.col("discount_u"), scale))
                 .withColumn("sale_price", units_to_money(F.col("sale_u"), scale)))
     if cost_price in df.columns:

@@ -1,92 +1,76 @@
 """Lexicon sentiment as a Spark job (no Python per row).
 
-Texts are tokenised JVM-side, tokens are joined to a (word, polarity)
-lexicon, and polarity is averaged per document. The label follows the
-usual polarity thresholds: > 0 Positive, = 0 Neutral, < 0 Negative; a text
-with no lexicon word scores 0 (Neutral).
-
-Plan shape: scan -> tokenise -> keep lexicon words -> explode -> broadcast
-hash join (polarity) -> partial aggregate by document -> one shuffle of about
-one row per document. A document is one row, so no key can be hot before the
-aggregate. For a lexicon of bounded size the non-lexicon tokens are dropped
-inside each document's token array (a hash-set ``IN``), so only hits are
-exploded, joined and aggregated; a larger lexicon explodes every token and
-joins by shuffle.
+Texts are tokenised JVM-side, tokens are joined to a (word, polarity) lexicon,
+and polarities are summed per row in whole units of the lexicon's finest
+polarity, so the label is that of the exact sum: > 0 Positive, = 0 Neutral,
+< 0 Negative. A null text or one without lexicon words is Neutral.
+
+Plan shape: scan -> tokenise -> keep lexicon words (a hash-set ``IN`` within
+the token array) -> explode -> broadcast hash join (polarity) -> partial
+aggregate by row -> one shuffle of about one row per text. A lexicon is a
+mapping on the driver of at most ``MAX_WORDS`` words; one path serves all.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, StringType, StructField, StructType
 
 TOKEN_SPLIT = "[^a-z]+"
-POLARITY = DecimalType(4, 2)
-# Lexicons up to this many entries are broadcast; larger ones are joined by
-# shuffle (the size is known from the mapping, no action needed).
-BROADCAST_MAX_WORDS = 2_000_000
-# Lexicons up to this many entries are also written into the plan as an IN
-# set to filter tokens before the explode.
-INLINE_MAX_WORDS = 50_000
+MAX_WORDS = 50_000
 
 
 class Lexicon:
-    def __init__(self, spark: SparkSession, words: Mapping[str, float | Decimal]):
-        self.size = len(words)
-        schema = StructType([StructField("word", StringType(), False),
-                             StructField("polarity", POLARITY, False)])
-        rows = [(w.lower(), Decimal(str(p))) for w, p in words.items()]
-        self.words = sorted({w for w, _ in rows}) if self.size <= INLINE_MAX_WORDS else None
-        self.df = spark.createDataFrame(rows, schema)
-
-    def join_side(self) -> DataFrame:
-        return F.broadcast(self.df) if self.size <= BROADCAST_MAX_WORDS else self.df
-
+    """Words fold to lower case; one word with two polarities, a word that no
+    token can equal, or too many words raise a ValueError."""
 
-def tokens(df: DataFrame, text_col: str, keep: Sequence[str],
-           only: Sequence[str] | None = None) -> DataFrame:
-    """One row per token of the whole lower-cased text, or per token in
-    ``only``. A document with no (kept) token still yields one row with a
-    null token, so every document survives."""
-    toks = F.split(F.lower(F.col(text_col)), TOKEN_SPLIT, -1)
-    if only is not None:
-        toks = F.filter(toks, lambda t: t.isin(list(only)))
-    return df.select(*keep, F.explode_outer(toks).alias("word"))
-
-
-def label(polarity) -> "F.Column":
-    return (F.when(polarity > 0, "Positive")
-             .when(polarity < 0, "Negative")
+    def __init__(self, spark: SparkSession, words: Mapping[str, float | Decimal]):
+        exact: dict[str, Decimal] = {}
+        for word, polarity in words.items():
+            folded, value = word.lower(), Decimal(str(polarity))
+            if not re.fullmatch("[a-z]+", folded):
+                raise ValueError(f"no token can equal the lexicon word {word!r}")
+            if exact.setdefault(folded, value) != value:
+                raise ValueError(f"two polarities for the lexicon word {folded!r}")
+        if len(exact) > MAX_WORDS:
+            raise ValueError(f"a lexicon holds at most {MAX_WORDS} words")
+        self.scale = max([0, *(-v.normalize().as_tuple().exponent for v in exact.values())])
+        self.units = {w: int(v.scaleb(self.scale)) for w, v in sorted(exact.items())}
+        self.words = list(self.units)
+        self.df = spark.createDataFrame(list(self.units.items()), "word string, units long")
+
+
+def label(total) -> "F.Column":
+    return (F.when(total > 0, "Positive")
+             .when(total < 0, "Negative")
              .otherwise("Neutral"))
 
 
 def sentiment(df: DataFrame, id_cols: Sequence[str], text_col: str,
               lexicon: Lexicon) -> DataFrame:
-    """(id_cols..., polarity, sentiment) per input row."""
-    toks = tokens(df, text_col, id_cols, only=lexicon.words)
-    scored = toks.join(lexicon.join_side(), "word", "left")
-    agg = scored.groupBy(*id_cols).agg(
-        F.coalesce(F.avg("polarity"), F.lit(Decimal("0"))).cast("decimal(10,6)").alias("polarity"))
-    return agg.withColumn("sentiment", label(F.col("polarity")))
-
-
-def analyze_sentiment_udf(spark: SparkSession, words: Mapping[str, float], name: str = "analyze_sentiment"):
-    """SQL-callable scalar for ad-hoc use (``select analyze_sentiment('i love it')``).
-
-    This is the small per-row helper; bulk scoring should use ``sentiment``.
-    """
-    import re
-
-    table = {w.lower(): float(p) for w, p in words.items()}
-
-    def score(text):
-        if text is None:
-            return None
-        hits = [table[t] for t in re.split(TOKEN_SPLIT, text.lower()) if t in table]
-        pol = sum(hits) / len(hits) if hits else 0.0
-        return "Positive" if pol > 0 else ("Neutral" if pol == 0 else "Negative")
-
-    return spark.udf.register(name, score, StringType())
+    """(id_cols..., polarity, sentiment), a row per input row: ``polarity`` is
+    the mean to six places, the label comes from the exact sum."""
+    hits = F.filter(F.split(F.lower(F.col(text_col)), TOKEN_SPLIT, -1), lambda t: t.isin(lexicon.words))
+    # the row number comes before the explode, which would number its output
+    rows = df.select(*id_cols, F.monotonically_increasing_id().alias("__row"), hits.alias("__hits")).select(
+        *id_cols, "__row", F.explode_outer("__hits").alias("word"))
+    scored = rows.join(F.broadcast(lexicon.df), "word", "left")  # at most MAX_WORDS rows
+    agg = scored.groupBy("__row", *id_cols).agg(F.sum("units").alias("__sum"), F.count("units").alias("__n"))
+    mean = F.col("__sum").cast("decimal(38,0)") / F.nullif("__n", F.lit(0)) / F.lit(10 ** lexicon.scale)
+    return agg.select(*id_cols, F.coalesce(mean.cast("decimal(10,6)"), F.lit(Decimal(0)).cast("decimal(10,6)"))
+                      .alias("polarity"), label(F.col("__sum")).alias("sentiment"))
+
+
+def analyze_sentiment_udf(spark: SparkSession, words: Mapping[str, float], name: str = "analyze_sentiment") -> None:
+    """SQL-callable scalar (``select analyze_sentiment('i love it')``), made of
+    built-in functions; agrees with ``sentiment`` on every text."""
+    lexicon = Lexicon(spark, words)
+    table = ", ".join(f"'{w}', {u}L" for w, u in lexicon.units.items())
+    spark.sql(f"""create or replace temporary function {name}(t string) returns string return
+        case sign(aggregate(split(lower(coalesce(t, '')), '{TOKEN_SPLIT}'), 0L,
+                            (s, w) -> s + coalesce(element_at(map({table}), w), 0L)))
+        when 1 then 'Positive' when -1 then 'Negative' else 'Neutral' end""")

@@ -126,8 +126,8 @@ def all_promo_customers(orders: DataFrame) -> DataFrame:
 def organic_share_never_promo(orders: DataFrame, year: int, month: int = 1) -> DataFrame:
     """Percent of all customers who were acquired in (year, month) and never
     used a promo. The reference's left self-join is one conditional count."""
-    c = orders.groupBy("customer_code").agg(F.min(_day()).alias("min_order_dt"),
-                                            F.min("promo_code_name").alias("first_promo"))
+    c = orders.where("customer_code is not null").groupBy("customer_code").agg(
+        F.min(_day()).alias("min_order_dt"), F.min("promo_code_name").alias("first_promo"))
     hit = ((F.month("min_order_dt") == month) & (F.year("min_order_dt") == year)
            & F.col("first_promo").isNull())
     return c.agg(percent(F.count_if(hit), F.count(F.lit(1))).alias("user_percent"))
@@ -137,7 +137,7 @@ def organic_share_first_order(orders: DataFrame, month: int = 1) -> DataFrame:
     """Among customers with an order in ``month`` (any year), percent whose
     first such order had no promo. The row_number = 1 pick is a min_by per
     customer (ties on placed_at broken by order_id)."""
-    m = orders.filter(F.month("placed_at") == month)
+    m = orders.filter((F.month("placed_at") == month) & F.col("customer_code").isNotNull())
     first = m.groupBy("customer_code").agg(
         F.min_by(F.struct(F.col("promo_code_name").alias("p")),
                  F.struct("placed_at", "order_id")).alias("_first"))

@@ -31,7 +31,7 @@ def rechunk_counts(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
 
 def table_file_audit(spark: SparkSession, sf_dir: str, size: bool = False) -> DataFrame:
     paths = [table_path(sf_dir, t) for t in TABLES]
-    return file_audit(spark.read.format("parquet").load(paths), size=size)
+    return file_audit(spark.read.format("parquet").load(paths), size=size).drop("file_path")
 
 
 def invalid_props(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,7 +37,7 @@ def top_category_reviewers(reviews: DataFrame, businesses: DataFrame, pattern: s
     distinct before the join."""
     matching = businesses.filter(F.col("categories").ilike(pattern)).select("business_id")
     pairs = reviews.select("user_id", "business_id").distinct()
-    counts = (pairs.join(matching, "business_id")
+    counts = (pairs.join(matching, "business_id", "left_semi")
                    .groupBy("user_id").agg(F.count(F.lit(1)).alias("num_businesses")))
     return top_n(counts, n, [F.desc("num_businesses"), F.asc("user_id")])
 

@@ -76,12 +76,15 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
 
     On a cluster this must already be set (a shared file system path). Only
     when it is unset -- local tests -- do we create one under ``fallback`` or
-    a fresh temporary folder.
+    a fresh temporary folder; with any other master and no
+    ``fallback`` an unset folder is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         spark.sparkContext.setCheckpointDir(current)
         return current
+    if not fallback and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     path = fallback or tempfile.mkdtemp(prefix="tessera-ckpt-")
     os.makedirs(path, exist_ok=True)
     spark.conf.set("spark.checkpoint.dir", path)

@@ -35,8 +35,9 @@ def rechunk_text(spark: SparkSession, src: str, dst: str, n: int = 25,
 
 def file_audit(df: DataFrame, size: bool = True) -> DataFrame:
     """Rows and bytes per input file, from the hidden ``_metadata`` column
-    (no listing on the driver)."""
-    keys = [F.col("_metadata.file_name").alias("file_name")]
+    (no listing on the driver). Files are told apart by their path: chunk
+    folders hold part files of the same name."""
+    keys = [F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_name").alias("file_name")]
     if size:
         keys.append(F.col("_metadata.file_size").alias("file_size"))
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))

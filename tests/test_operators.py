@@ -3,6 +3,8 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tessera.functions.dates import months_before, parse_date
@@ -157,22 +159,33 @@ def test_variant_projection_rounds_stars(spark):
     assert out[1].business_id is None
 
 
-def test_sentiment_inline_filter_matches_full_explode(spark, monkeypatch):
-    from tessera.operators import sentiment as S
-
-    docs = spark.createDataFrame(
-        [(1, "Good good BAD movie"), (2, "nothing here"), (3, ""), (4, None), (5, "bad, bad; good")],
-        "doc_id int, text string")
-    words = {"good": 0.7, "bad": -0.7}
-    inline = S.sentiment(docs, ["doc_id"], "text", S.Lexicon(spark, words))
-    monkeypatch.setattr(S, "INLINE_MAX_WORDS", 0)
-    full_lex = S.Lexicon(spark, words)
-    assert full_lex.words is None
-    full = S.sentiment(docs, ["doc_id"], "text", full_lex)
-    got = sorted((r.doc_id, r.polarity, r.sentiment) for r in inline.collect())
-    assert got == sorted((r.doc_id, r.polarity, r.sentiment) for r in full.collect())
-    assert [(d, s) for d, _, s in got] == [(1, "Positive"), (2, "Neutral"), (3, "Neutral"),
-                                           (4, "Neutral"), (5, "Negative")]
+def test_sentiment_is_exact_per_row_and_equal_in_sql(spark):
+    words = {"good": 0.1, "fine": 0.2, "bad": -0.3, "Faint": 0.004, "poor": -0.01, "nice": 0.01}
+    texts = ["good fine bad", "faint", "nice " * 201 + "poor " * 200, None, "", "GOOD bad, bad", "nothing"]
+    docs = spark.createDataFrame([(1, t) for t in texts], "id int, text string")
+    job = sentiment(docs, ["id"], "text", Lexicon(spark, words))
+    assert sorted(r.sentiment for r in job.collect()) == sorted(
+        ["Neutral", "Positive", "Positive", "Neutral", "Neutral", "Negative", "Neutral"])
+    analyze_sentiment_udf(spark, words)
+    assert [r.s for r in docs.selectExpr("analyze_sentiment(text) as s").collect()] == [
+        "Neutral", "Positive", "Positive", "Neutral", "Neutral", "Negative", "Neutral"]
+    for wrong in ({"good": 1, "Good": 2}, {"don't": 1}):
+        with pytest.raises(ValueError):
+            Lexicon(spark, wrong)
+
+
+def test_profit_keeps_cents_and_half_percents(spark):
+    df = spark.createDataFrame([(Decimal("12.99"), Decimal("2.5"), Decimal("10.49"))],
+                               "list_price decimal(10,2), discount_percent decimal(4,1), cost_price decimal(10,2)")
+    r = derive_profit(df).first()
+    assert (r.discount, r.sale_price, r.profit) == (Decimal("0.32475"), Decimal("12.66525"), Decimal("2.17525"))
+    with pytest.raises(TypeError):
+        derive_profit(df.withColumn("list_price", F.col("list_price").cast("double")))
+
+
+def test_percent_of_nothing_is_null(spark):
+    from tessera.functions.numeric import percent
+    assert spark.range(0).agg(percent(F.count_if(F.col("id") > 1), F.count(F.lit(1))).alias("p")).first().p is None
 
 
 def test_money_property_against_python_decimal(spark):

@@ -3,11 +3,11 @@
 import pytest
 from conftest import SF_SMALL
 
-from __spark_entry__ import queries
+from tessera.plans.registry import QUERIES
 
 
 def plan(spark, name):
-    df = queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     return df._jdf.queryExecution().executedPlan().toString() + \
         df._jdf.queryExecution().optimizedPlan().toString()
 
@@ -54,7 +54,7 @@ def test_reviews_aggregated_before_business_join(spark):
 
 
 def test_no_python_in_any_query(spark):
-    for name in queries():
+    for name in QUERIES:
         p = plan(spark, name)
         assert "EvalPython" not in p and "FlatMapGroupsInPandas" not in p, name
 
@@ -63,7 +63,7 @@ def test_no_python_in_any_query(spark):
 def test_money_is_long_per_row_decimal_per_group(spark, name):
     """Per-row money stays long arithmetic in the scan stage; only the
     partial sums take decimals (no per-row decimal multiply)."""
-    df = queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     p = df._jdf.queryExecution().executedPlan().toString()
     assert "partial_sum(" in p and "as decimal(18,0))" in p
     assert "decimal(12,2)" not in p and "0.01" not in p

@@ -215,3 +215,16 @@ def test_chunks_property(spark):
             assert max(by[a]) < min(by[b])
 
     check()
+
+
+def test_audit_keeps_equal_files_apart(spark, tmpdir_path):
+    """One task names its part files alike in every chunk folder."""
+    import os
+
+    src, dst = os.path.join(tmpdir_path, "in.txt"), os.path.join(tmpdir_path, "out")
+    with open(src, "w") as f:
+        f.write("".join(f"line {k:03d}\n" for k in range(100)))
+    rechunk_text(spark, src, dst, n=10)
+    audit = audit_path(spark, dst).collect()
+    assert len(audit) == 10 and {r.n_rows for r in audit} == {10}
+    assert len({r.file_path for r in audit}) == 10
