@@ -50,7 +50,7 @@ SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)
 UNIGRAM, BPE = 1, 2
 KEPT_PARTS = 500_000
-KEPT_PAIRS = 300_000
+KEPT_PAIRS = 800_000
 KEPT_LENGTH = 48
 
 
@@ -266,7 +266,7 @@ class Transducer:
 
     def decode(self, ids: list[int] | np.ndarray) -> str:
         spelt = self.spellings
-        text = b"".join([spelt[i] for i in ids]).decode("utf-8", "replace")
+        text = b"".join([spelt[i] for i in (ids.tolist() if isinstance(ids, np.ndarray) else ids)]).decode("utf-8", "replace")
         if self.model.escape_spaces:
             text = text.replace(SPACE, " ")
         return text[1:] if self.model.dummy_prefix and text.startswith(" ") else text
