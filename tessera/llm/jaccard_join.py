@@ -20,13 +20,17 @@ with the smallest document that has it, and equal sets within a task are
 collapsed. Chains of documents over shared postings give candidate clusters.
 
 Verification. A cluster is cut into blocks of ``BLOCK`` documents, each with
-the cluster's smallest document per band added. Within a block, pairs of fitting
+the cluster's smallest document per band added (for bands with at least a
+document per block, so that the added ones weigh no more than the cluster).
+Within a block, pairs of fitting
 sizes that are not connected yet are compared: hashed bitmaps bound the overlap
 from above (a bit set in one only is an element missing in the other), then
 sorted arrays are intersected. Where a cluster of several blocks is still not
-one component, documents outside its largest component are compared with every
-block. So a large group of near copies costs time in proportion to its size,
-and no link is lost.
+one component, documents outside its largest component are compared with all of
+it: first by bitmaps of fixed size alone, which leaves small groups of documents
+that may link (most loose clusters vanish here), then by the exact intersection
+within those groups. So a large group of near copies costs time in proportion to
+its size, texts travel only where a link is possible, and no link is lost.
 
 Edge cases: a null or empty text has an empty set and links with nothing (its
 component is its own id); fewer words than n give one n-gram of all of them; a
@@ -52,8 +56,9 @@ from tessera.sources.tables import read_table
 BLOCK = 64
 BLOCK_SHINGLES = 2 << 20
 WIDE_BLOCK = 1024
+MAP_BLOCK, MAP_BITS = 4096, 1 << 14
 FLUSH_POSTINGS = 1 << 20
-COUNTER_BITS = 18
+COUNTER_BITS, CHUNK_BITS = 22, 14
 POSTING, CANDIDATE, COPY, SIZE = range(4)
 _C1, _C2, _C3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -111,7 +116,7 @@ def rare_first(elements: np.ndarray, ranks: np.ndarray) -> np.ndarray:
     """The elements under a one-to-one map whose order puts those of small
     counters first: the counter's number gives way to its rank."""
     low = np.uint64(64 - COUNTER_BITS)
-    return (ranks[(elements >> low).astype(np.int64)] << low) | (elements & ((np.uint64(1) << low) - np.uint64(1)))
+    return (ranks[(elements >> low).astype(np.int64)].astype(np.uint64) << low) | (elements & ((np.uint64(1) << low) - np.uint64(1)))
 
 
 def postings(elements: np.ndarray, bands: Bands, ranks: np.ndarray) -> np.ndarray:
@@ -127,22 +132,41 @@ def postings(elements: np.ndarray, bands: Bands, ranks: np.ndarray) -> np.ndarra
 def frequency_ranks(rows: DataFrame, n: int) -> np.ndarray:
     """Rank of each counter by the number of n-grams that all documents put
     into it; 2 ** COUNTER_BITS rows, whatever the size of the corpus."""
-    size, low = 1 << COUNTER_BITS, np.uint64(64 - COUNTER_BITS)
+    low, step = np.uint64(64 - COUNTER_BITS), 1 << CHUNK_BITS
+    chunks = 1 << (COUNTER_BITS - CHUNK_BITS)
+
+    def rows_of(totals: dict[int, np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(totals), pa.int32()), pa.array([t.tobytes() for t in totals.values()], pa.binary())],
+            ["chunk", "counts"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, np.int64)
+        total = np.zeros(1 << COUNTER_BITS, np.uint32)
         for batch in batches:
             for text in batch["text"].to_pylist():
-                np.add.at(total, (shingles(text, n) >> low).astype(np.int64), 1)
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["counter", "n"])
-
-    found = (rows.select("text").mapInArrow(count, "counter long, n long")
-             .groupBy("counter").agg(F.sum("n").alias("n")).toArrow())
-    counts = np.zeros(size, np.int64)
-    counts[found["counter"].to_numpy()] = found["n"].to_numpy()
-    ranks = np.empty(size, np.uint64)
-    ranks[np.argsort(counts, kind="stable")] = np.arange(size, dtype=np.uint64)
+                np.add.at(total, (shingles(text, n) >> low).astype(np.int64), np.uint32(1))
+        # a task's counter is a byte that stops at its maximum
+        counts = np.minimum(total, 255).astype(np.uint8).reshape(chunks, step)
+        for k in range(chunks):
+            if counts[k].any():
+                yield rows_of({k: counts[k]})
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, part in zip(batch["chunk"].to_pylist(), batch["counts"], strict=True):
+                total = totals.setdefault(k, np.zeros(step, "<u8"))
+                total += np.frombuffer(part.as_buffer(), np.uint8)
+        if totals:
+            yield rows_of({k: np.minimum(t, 0xFFFFFFFF).astype("<u4") for k, t in totals.items()})
+
+    schema = "chunk int, counts binary"
+    found = rows.select("text").mapInArrow(count, schema).repartition("chunk").mapInArrow(add, schema).toArrow()
+    counts = np.zeros((chunks, step), np.uint32)
+    for k, part in zip(found["chunk"].to_pylist(), found["counts"].to_pylist(), strict=True):
+        counts[k] = np.frombuffer(part, "<u4")
+    ranks = np.empty(1 << COUNTER_BITS, np.uint32)
+    ranks[np.argsort(counts.ravel(), kind="stable")] = np.arange(len(ranks), dtype=np.uint32)
     return ranks
 
 
@@ -207,6 +231,47 @@ def candidate_rows(batches: Iterator[pa.RecordBatch], n: int, p: int, q: int,
     yield from flush()
 
 
+def bitmaps(sets: list[np.ndarray], bits: int) -> np.ndarray:
+    """A row of ``bits`` bits per set: a bit for each hashed element."""
+    maps = np.zeros((len(sets), bits // 8), np.uint8)
+    for row, elements in zip(maps, sets, strict=True):
+        at = elements % np.uint64(bits)
+        np.bitwise_or.at(row, (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
+    return maps.view(np.uint64)
+
+
+def overlap_bound(size: int, sizes: np.ndarray, mine: np.ndarray, theirs: np.ndarray) -> np.ndarray:
+    """Largest overlap that the bitmaps of one set and of others allow."""
+    return np.minimum(size - np.bitwise_count(mine & ~theirs).sum(1, dtype=np.int64),
+                      sizes - np.bitwise_count(theirs & ~mine).sum(1, dtype=np.int64))
+
+
+def bitmap_groups(sizes: np.ndarray, labels: np.ndarray, sides: np.ndarray, maps: np.ndarray,
+                  bands: Bands) -> np.ndarray:
+    """A group number per document of one tile, -1 for documents that link with
+    none: two documents that may link, of different labels and not both of side
+    1, are in one group."""
+    order = np.argsort(-sizes, kind="stable")
+    sizes, labels, sides, maps = sizes[order], labels[order], sides[order], maps[order]
+    groups, linked = np.arange(len(sizes)), np.zeros(len(sizes), bool)
+    for i in range(len(sizes)):
+        # sizes fall: those that can link with this one follow it directly
+        end = i + 1 + int(np.searchsorted(-sizes[i + 1:], -(bands.p * int(sizes[i]) // bands.q), "right"))
+        rest = slice(i + 1, end)
+        needed = bands.needed(sizes[i], sizes[rest])
+        at = np.flatnonzero((labels[rest] != labels[i]) & (groups[rest] != groups[i]) & (sizes[rest] >= needed)
+                            & ((sides[rest] == 0) | (sides[i] == 0))) + i + 1
+        if not len(at):
+            continue
+        at = at[overlap_bound(sizes[i], sizes[at], maps[i], maps[at]) >= needed[at - i - 1]]
+        if len(at):
+            linked[i] = linked[at] = True
+            groups[np.isin(groups, groups[at])] = groups[i]
+    out = np.empty(len(sizes), np.int64)
+    out[order] = np.where(linked, groups, -1)
+    return out
+
+
 def block_links(ids: list[int], labels: np.ndarray, sides: np.ndarray, texts: list[str], n: int,
                 bands: Bands) -> list[tuple[int, int]]:
     """Links that connect what is to be connected in one block. Documents with
@@ -218,11 +283,7 @@ def block_links(ids: list[int], labels: np.ndarray, sides: np.ndarray, texts: li
     sizes = np.array([len(s) for s in sets], np.int64)
     labels, sides = labels[order].copy(), sides[order]
     bits = 1 << min(14, max(8, int(2 * sizes.max()).bit_length()))
-    maps = np.zeros((len(sets), bits // 8), np.uint8)
-    for row, elements in zip(maps, sets, strict=True):
-        at = elements % np.uint64(bits)
-        np.bitwise_or.at(row, (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
-    maps = maps.view(np.uint64)
+    maps = bitmaps(sets, bits)
     links = []
     for i in range(len(sets)):
         needed = bands.needed(sizes[i], sizes[i + 1:])
@@ -231,9 +292,7 @@ def block_links(ids: list[int], labels: np.ndarray, sides: np.ndarray, texts: li
         if not len(rest):
             continue
         needed = needed[rest - i - 1]
-        mine, theirs = maps[i], maps[rest]
-        bound = np.minimum(sizes[i] - np.bitwise_count(mine & ~theirs).sum(1, dtype=np.int64),
-                           sizes[rest] - np.bitwise_count(theirs & ~mine).sum(1, dtype=np.int64))
+        bound = overlap_bound(sizes[i], sizes[rest], maps[i], maps[rest])
         for j, least in zip(rest[bound >= needed], needed[bound >= needed], strict=True):
             if labels[j] == labels[i]:
                 continue
@@ -269,6 +328,64 @@ def _blocks(members: DataFrame, sizes: DataFrame) -> DataFrame:
         "block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
 
 
+def _apart(rows: DataFrame) -> DataFrame:
+    """Of (cluster, id, size, label): the clusters of several labels, with the
+    label that most documents have as ``main``."""
+    parts = rows.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("docs"))
+    main = parts.groupBy("cluster").agg(F.max(F.struct("docs", "label")).alias("top"),
+                                        F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    return rows.join(main.select("cluster", F.col("top.label").alias("main")), "cluster")
+
+
+def _tiles(apart: DataFrame, max_docs: int, max_size: int | None = None) -> DataFrame:
+    """``apart`` dealt to tiles (cluster, block, group): all documents by block
+    (side 1) against those outside the main label by group (side 0)."""
+    outside = apart.where("label <> main")
+
+    def parts(rows: DataFrame, name: str) -> DataFrame:
+        wanted = F.ceil(F.count(F.lit(1)) / max_docs)
+        if max_size:
+            wanted = F.greatest(wanted, F.ceil(F.sum("size") / max_size))
+        return rows.groupBy("cluster").agg(wanted.cast("int").alias(name))
+
+    counts = parts(apart, "blocks").join(parts(outside, "groups"), "cluster")
+    kept = [c for c in apart.columns if c != "main"]
+    spread = lambda name: F.explode(F.sequence(F.lit(0), F.col(name) - 1))
+    own = lambda name: F.pmod(F.xxhash64("id"), F.col(name)).cast("int")
+    here = apart.join(counts, "cluster").select(
+        *kept, F.lit(1).alias("side"), own("blocks").alias("block"), spread("groups").alias("group"))
+    there = outside.join(counts, "cluster").select(
+        *kept, F.lit(0).alias("side"), spread("blocks").alias("block"), own("groups").alias("group"))
+    return here.unionByName(there)
+
+
+def _tightened(apart: DataFrame, docs: DataFrame, n: int, p: int, q: int) -> DataFrame:
+    """(cluster, id, size, label) of the documents of ``apart`` that may link
+    with another by their bitmaps; clusters are the groups of a tile."""
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingles(t, n) for t in batch["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch[c] for c in ("cluster", "id", "label", "main")), pa.array([len(x) for x in sets], pa.int64()),
+                 pa.array([m.tobytes() for m in bitmaps(sets, MAP_BITS)], pa.binary())],
+                ["cluster", "id", "label", "main", "size", "map"])
+
+    def group(rows: pa.Table) -> pa.Table:
+        maps = np.frombuffer(b"".join(rows["map"].to_pylist()), np.uint64).reshape(rows.num_rows, -1)
+        found = bitmap_groups(rows["size"].to_numpy(), rows["label"].to_numpy(), rows["side"].to_numpy(),
+                              maps, Bands(p, q))
+        return (rows.select(["cluster", "block", "group", "id", "size", "label"])
+                .append_column("part", pa.array(found)).filter(pa.array(found >= 0)))
+
+    maps = stored(apart.select("cluster", "id", "label", "main").hint("merge").join(docs, "id").mapInArrow(
+        mapped, "cluster long, id long, label long, main long, size long, map binary"), "jaccard-maps")
+    found = _tiles(maps, MAP_BLOCK).groupBy("cluster", "block", "group").applyInArrow(
+        group, "cluster long, block int, group int, id long, size long, label long, part long")
+    return (found.groupBy(F.xxhash64("cluster", "block", "group", "part").alias("cluster"), "id", "label")
+            .agg(F.max("size").alias("size")))
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4,
                        p: int = 85, q: int = 100) -> DataFrame:
     """(doc_id, n_shingles, component_id), a row per row of ``docs``."""
@@ -290,40 +407,24 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     placed = stored(_blocks(clusters, one_size), "jaccard-blocks")
     band = F.floor(F.log(F.col("size").cast("double")) / float(np.log(q / p)))
     centres = (placed.where("blocks > 1").groupBy("cluster", band.alias("band"))
-               .agg(F.min("id").alias("id"), F.first("blocks").alias("blocks"))
+               .agg(F.min("id").alias("id"), F.first("blocks").alias("blocks"), F.count(F.lit(1)).alias("docs"))
+               .where("docs >= blocks")
                .select("cluster", "id", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")))
     members = placed.select("cluster", "id", "block").unionByName(centres).distinct()
     texts = rows.where("id is not null")
     first = stored(_resolve(members.select("cluster", "block", "id", F.col("id").alias("label"),
                                            F.lit(0).alias("side")), texts, n, p, q), "jaccard-links")
 
-    # clusters of several blocks that are not one component yet: each wide
-    # block against each group of documents outside the largest component
+    # clusters of several blocks that are not one component yet
     labels = connected_components(first)
     several = placed.where("blocks > 1").select("cluster", "id", "size").join(
         labels.withColumnRenamed("component", "label"), "id", "left").withColumn(
         "label", F.coalesce("label", "id"))
-    parts = several.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("docs"))
-    main = parts.groupBy("cluster").agg(F.max(F.struct("docs", "label")).alias("top"),
-                                        F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    apart = stored(several.join(main.select("cluster", F.col("top.label").alias("main")), "cluster"),
-                   "jaccard-apart")
+    apart = stored(_apart(several), "jaccard-apart")
     links = first
     if not apart.isEmpty():
-        outside = apart.where("label <> main")
-        n_parts = lambda rows, name: rows.groupBy("cluster").agg(F.greatest(
-            F.ceil(F.count(F.lit(1)) / WIDE_BLOCK),
-            F.ceil(F.sum("size") / BLOCK_SHINGLES)).cast("int").alias(name))
-        counts = n_parts(apart, "blocks").join(n_parts(outside, "groups"), "cluster")
-        spread = lambda name: F.explode(F.sequence(F.lit(0), F.col(name) - 1))
-        own = lambda name: F.pmod(F.xxhash64("id"), F.col(name)).cast("int")
-        here = apart.join(counts, "cluster").select(
-            "cluster", "id", "label", F.lit(1).alias("side"), own("blocks").alias("block"),
-            spread("groups").alias("group"))
-        there = outside.join(counts, "cluster").select(
-            "cluster", "id", "label", F.lit(0).alias("side"), spread("blocks").alias("block"),
-            own("groups").alias("group"))
-        tiles = (here.unionByName(there).groupBy("cluster", "id", "label", "block", "group")
+        tight = stored(_apart(stored(_tightened(apart, texts, n, p, q), "jaccard-tight")), "jaccard-tight")
+        tiles = (_tiles(tight, WIDE_BLOCK, BLOCK_SHINGLES).groupBy("cluster", "id", "label", "block", "group")
                  .agg(F.min("side").alias("side"))
                  .withColumn("block", F.struct("block", "group")).drop("group"))
         links = first.unionByName(stored(_resolve(tiles, texts, n, p, q), "jaccard-links"))

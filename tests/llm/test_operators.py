@@ -328,6 +328,7 @@ def test_large_groups_in_blocks(spark, monkeypatch):
     """Groups of many blocks whose members link only through some others."""
     monkeypatch.setattr(jaccard_join, "BLOCK", 4)
     monkeypatch.setattr(jaccard_join, "WIDE_BLOCK", 8)
+    monkeypatch.setattr(jaccard_join, "MAP_BLOCK", 16)
     rng = random.Random(5)
     words = [f"w{k}" for k in range(60)]
     rows = []
