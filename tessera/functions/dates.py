@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -12,11 +13,31 @@ DEFAULT_DATE_FORMATS = ("yyyy-MM-dd", "MMMM d, yyyy", "MMM d, yyyy", "d MMMM yyy
                         "MM/dd/yyyy")
 
 
+def date_shape(fmt: str) -> str | None:
+    """A regular expression that every text in this format matches, None for a
+    format of other than years, months and days."""
+    if set(re.findall("[A-Za-z']", fmt)) - set("yMd"):
+        return None
+
+    def part(run: re.Match) -> str:
+        return r"[+-]?\d+" if run[1] == "y" else r"\p{L}{3,}" if len(run[0]) > 2 else r"\d+"
+
+    return "^" + "".join(part(m) if m[1] else re.escape(m[0])
+                         for m in re.finditer(r"([yMd])\1*|.", fmt)) + "$"
+
+
 def parse_date(col: Column | str, formats=DEFAULT_DATE_FORMATS) -> Column:
     """First format that parses wins; unparsable text gives null, never an
-    error (Spark 4 is ANSI by default)."""
+    error (Spark 4 is ANSI by default). A format is tried only on text of its
+    shape: a failed parse costs far more than the test."""
     c = F.trim(F.col(col) if isinstance(col, str) else col)
-    return F.coalesce(*[F.try_to_date(c, f) for f in formats])
+
+    def tried(fmt: str) -> Column:
+        shape = date_shape(fmt)
+        parsed = F.try_to_date(c, fmt)
+        return parsed if shape is None else F.when(c.rlike(shape), parsed)
+
+    return F.coalesce(*[tried(f) for f in formats])
 
 
 def as_date(value) -> dt.date:

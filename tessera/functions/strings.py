@@ -17,6 +17,12 @@ def split_list(col: Column | str, sep: str = ",") -> Column:
     return F.split(F.col(col) if isinstance(col, str) else col, re.escape(sep), -1)
 
 
+def split_trimmed(col: Column | str, sep: str = ",") -> Column:
+    """``split_list`` with the blanks around every item removed."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.split(F.trim(c), f" *{re.escape(sep)} *", -1)
+
+
 def concat_null_as_empty(*cols: Column | str) -> Column:
     """Concatenate treating null as the empty string (T-SQL ``concat``)."""
     return F.concat_ws("", *[F.col(c) if isinstance(c, str) else c for c in cols])

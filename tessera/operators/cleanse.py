@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, DecimalType, IntegerType, LongType, ShortType, StringType
 
 from ..functions.numeric import units_to_money
+from ..functions.strings import split_trimmed
 from .topk import top_k_per_group
 
 
@@ -105,18 +106,20 @@ def fill_from(col: str, fallback: str) -> Column:
 
 
 def fill_by_learned_pairs(raw: DataFrame, id_col: str, key_col: str, value_col: str,
-                          key_bridge: DataFrame, value_bridge: DataFrame,
-                          bridge_key: str, bridge_value: str) -> DataFrame:
-    """Rows (id, value) for raw rows lacking ``value_col``, learned from
-    (key, value) pairs that co-occur on other rows.
+                          wanted: DataFrame | None = None) -> DataFrame:
+    """Rows (id, value) for the rows of ``wanted`` (default: all of ``raw``)
+    lacking ``value_col``, learned from the (key, value) items that stand
+    together in a row of ``raw``.
 
-    The pairs are made distinct before the join, so a key seen on many rows
+    Keys and values are lists; their items are paired within the row. The
+    pairs are made distinct before the join, so a key seen on many rows
     contributes each value once. The raw key is matched unsplit against split
     keys, so only single-key rows can be filled.
     """
-    pairs = (key_bridge.join(value_bridge, id_col)
-                       .select(F.col(bridge_key).alias("_k"), F.col(bridge_value).alias("_v"))
-                       .distinct())
-    missing = raw.filter(F.col(value_col).isNull()).select(id_col, key_col)
+    items = lambda c: F.explode(F.array_distinct(split_trimmed(c)))
+    pairs = (raw.select(items(key_col).alias("_k"), value_col)
+                .select("_k", items(value_col).alias("_v")).distinct())
+    source = raw if wanted is None else wanted
+    missing = source.filter(F.col(value_col).isNull()).select(id_col, key_col)
     return (missing.join(pairs, missing[key_col] == pairs["_k"])
-                   .select(F.col(id_col), F.col("_v").alias(bridge_value)))
+                   .select(F.col(id_col), F.col("_v").alias(value_col)))

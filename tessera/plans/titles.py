@@ -3,17 +3,20 @@
 Case-insensitive literals ('movie', 'tv show', genre names) are compared on
 ``lower(col)``: the reference's host collation ignores case, Spark compares
 bytes.
+
+The analyses work within the raw title row: the landing row and the bridge
+rows of a title come from the same raw row (``show_id`` is its key), so
+exploding a list beside the other columns gives what joining landing table and
+bridges on ``show_id`` would, without the join.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import parse_date
-from ..functions.strings import ci_equals, concat_null_as_empty, strip_to_int
+from ..functions.strings import ci_equals, concat_null_as_empty, split_trimmed, strip_to_int
 from ..operators.cleanse import dedupe_latest, fill_by_learned_pairs, fill_from
 from ..operators.lists import bridge
 from ..operators.topk import top_k_per_group, top_n
@@ -25,12 +28,8 @@ MOVIE, TV_SHOW = "movie", "tv show"
 class Catalogue:
     """The raw titles and everything derived from them, built lazily."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, raw: DataFrame | None = None,
-                 literal_land: bool = True):
+    def __init__(self, spark: SparkSession, sf_dir: str, raw: DataFrame | None = None):
         self.raw = raw if raw is not None else A.titles(spark, sf_dir)
-        # The analyses read the landing table as the script builds it: its
-        # row number is never filtered, so duplicates stay.
-        self.literal_land = literal_land
 
     # --- bridge tables (director, cast, genre, country); cast is not trimmed
     def directors(self) -> DataFrame:
@@ -48,9 +47,7 @@ class Catalogue:
     def countries(self) -> DataFrame:
         """Country bridge plus rows learned from (director, country) pairs
         for titles with no country (insert ... select)."""
-        learned = fill_by_learned_pairs(self.raw, "show_id", "director", "country",
-                                        self.directors(), self.countries_split(),
-                                        "director", "country")
+        learned = fill_by_learned_pairs(self.raw, "show_id", "director", "country")
         return self.countries_split().unionByName(learned)
 
     # --- landing table
@@ -71,12 +68,25 @@ class Catalogue:
                           "description")
 
     def analysed(self) -> DataFrame:
-        return self.land(literal=self.literal_land)
+        """The landing rows with their lists. Duplicates stay, as in the table
+        the script builds: its row number is never filtered."""
+        return self.raw.withColumns({"date_added": parse_date("date_added"),
+                                     "duration": fill_from("duration", "rating")})
 
     def movies(self) -> DataFrame:
         return self.analysed().filter(ci_equals("type", MOVIE))
 
 
+def each(list_col: str, distinct: bool = False) -> Column:
+    """A row per item of the list; ``distinct`` names each item once a title."""
+    items = split_trimmed(list_col)
+    return F.explode(F.array_distinct(items) if distinct else items)
+
+
+def of_genre(genre: str) -> Column:
+    return F.array_contains(split_trimmed(F.lower("listed_in")), genre.lower())
+
+
 def parse_dates(raw: DataFrame) -> DataFrame:
     return raw.select("show_id", parse_date("date_added").alias("date_added"))
 
@@ -85,13 +95,9 @@ def director_type_counts(cat: Catalogue, distinct: bool = False) -> DataFrame:
     """Movies and TV shows per director, for directors with both.
 
     ``distinct=False`` sums one per bridge row (a title naming a director
-    twice counts twice); ``distinct=True`` counts distinct titles. The
-    distinct form dedupes (director, type, show_id) first, so no Expand of
-    several distinct aggregates is needed."""
+    twice counts twice); ``distinct=True`` counts titles."""
     t = F.lower(F.col("type"))
-    j = cat.analysed().select("show_id", t.alias("t")).join(cat.directors(), "show_id")
-    if distinct:
-        j = j.select("director", "t", "show_id").distinct()
+    j = cat.analysed().select(t.alias("t"), each("director", distinct).alias("director"))
     out = j.groupBy("director").agg(
         F.sum(F.when(F.col("t") == MOVIE, 1).otherwise(0)).alias("num_movies"),
         F.sum(F.when(F.col("t") == TV_SHOW, 1).otherwise(0)).alias("num_tv_shows"),
@@ -101,19 +107,20 @@ def director_type_counts(cat: Catalogue, distinct: bool = False) -> DataFrame:
 
 def top_country_for_genre(cat: Catalogue, genre: str) -> DataFrame:
     """Country with the most distinct movies of ``genre`` (ties: country)."""
-    g = cat.genres().filter(ci_equals("genre", genre)).select("show_id")
-    j = (g.join(cat.countries(), "show_id")
-          .join(cat.movies().select("show_id"), "show_id"))
-    counts = j.groupBy("country").agg(F.count_distinct("show_id").alias("num_comedy"))
+    wanted = cat.movies().filter(of_genre(genre)).select("show_id", "director", "country")
+    own = wanted.select(each("country", distinct=True).alias("country"))
+    learned = fill_by_learned_pairs(cat.raw, "show_id", "director", "country", wanted)
+    # a title has its own or learned countries, each once
+    counts = own.unionByName(learned.select("country")).groupBy("country").agg(
+        F.count(F.lit(1)).alias("num_comedy"))
     return top_n(counts, 1, [F.desc("num_comedy"), F.asc("country")])
 
 
 def top_director_per_year(cat: Catalogue) -> DataFrame:
     """Per year added, the director with most movies (ties: name)."""
-    j = cat.movies().select("show_id", F.year("date_added").alias("release_year")) \
-        .join(cat.directors(), "show_id")
-    counts = j.groupBy("director", "release_year").agg(
-        F.count_distinct("show_id").alias("num_movies"))
+    j = cat.movies().select(each("director", distinct=True).alias("director"),
+                            F.year("date_added").alias("release_year"))
+    counts = j.groupBy("director", "release_year").agg(F.count(F.lit(1)).alias("num_movies"))
     return top_k_per_group(counts, ["release_year"], [F.desc("num_movies"), F.asc("director")],
                            k=1, rank_col="rn")
 
@@ -122,7 +129,7 @@ def avg_duration_by_genre(cat: Catalogue) -> DataFrame:
     """Average movie minutes per genre: the double mean and the integer
     (truncating) mean an int ``avg`` gives in T-SQL."""
     mins = strip_to_int("duration", " min")
-    j = cat.movies().select("show_id", mins.alias("mins")).join(cat.genres(), "show_id")
+    j = cat.movies().select(mins.alias("mins"), each("listed_in").alias("genre"))
     return j.groupBy("genre").agg(
         F.round(F.avg("mins"), 4).alias("avg_duration"),
         F.expr("cast(sum(mins) div count(mins) as int)").alias("avg_duration_trunc"))
@@ -130,15 +137,11 @@ def avg_duration_by_genre(cat: Catalogue) -> DataFrame:
 
 def both_genre_directors(cat: Catalogue, comedy: str, horror: str) -> DataFrame:
     """Directors with movies in both genres, with a count for each."""
-    g = F.lower(F.col("genre"))
-    wanted = cat.genres().filter(g.isin(comedy.lower(), horror.lower())) \
-        .select("show_id", g.alias("g"))
-    j = (cat.directors().join(wanted, "show_id")
-            .join(cat.movies().select("show_id"), "show_id")
-            .select("director", "g", "show_id").distinct())
-    out = j.groupBy("director").agg(
-        F.count_if(F.col("g") == comedy.lower()).alias("num_com_movies"),
-        F.count_if(F.col("g") == horror.lower()).alias("num_horror_movies"))
+    j = (cat.movies().select("director", of_genre(comedy).alias("com"), of_genre(horror).alias("hor"))
+            .filter(F.col("com") | F.col("hor"))
+            .select(each("director", distinct=True).alias("director"), "com", "hor"))
+    out = j.groupBy("director").agg(F.count_if("com").alias("num_com_movies"),
+                                    F.count_if("hor").alias("num_horror_movies"))
     return out.filter((F.col("num_com_movies") > 0) & (F.col("num_horror_movies") > 0))
 
 

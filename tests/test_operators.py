@@ -7,10 +7,10 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from tessera.functions.dates import months_before, parse_date
+from tessera.functions.dates import DEFAULT_DATE_FORMATS, months_before, parse_date
 from tessera.functions.numeric import percent
 from tessera.functions.strings import (ci_equals, concat_null_as_empty, normalise_column_names,
-                                       strip_to_int)
+                                       split_trimmed, strip_to_int)
 from tessera.operators import profile
 from tessera.operators.cleanse import (dedupe_latest, derive_profit, fill_by_learned_pairs,
                                        replace_null_tokens)
@@ -18,6 +18,7 @@ from tessera.operators.lists import bridge
 from tessera.operators.sentiment import Lexicon, analyze_sentiment_udf, sentiment
 from tessera.operators.topk import top_k_per_group
 from tessera.operators.variant import project, to_variant
+from tessera.plans import titles
 
 
 def test_split_keeps_empty_tokens_and_trims(spark):
@@ -103,14 +104,50 @@ def test_dedupe_keeps_latest_string_order(spark):
     assert got == {"s99", "s5"}
 
 
+@pytest.mark.parametrize("text", ["2020-01-31", " March 5, 2021 ", "mar 5, 2021", "May 1, 2020", "5 March 2021",
+                                  "03/31/2020", "2020-13-01", "March 45, 2020", "2020-01-31x", "", "12/2020", None])
+def test_parse_date_guards_change_nothing(spark, text):
+    df = spark.createDataFrame([(text,)], "d string")
+    plain = F.coalesce(*[F.try_to_date(F.trim("d"), f) for f in DEFAULT_DATE_FORMATS])
+    guarded, unguarded = df.select(parse_date("d"), plain).first()
+    assert guarded == unguarded
+
+
+def test_split_trimmed_keeps_empty_items(spark):
+    df = spark.createDataFrame([(" a , b c,  ,d ",), ("",), (" , ",), (None,)], "t string")
+    assert [r.x for r in df.select(split_trimmed("t").alias("x")).collect()] == [
+        ["a", "b c", "", "d"], [""], ["", ""], None]
+
+
+TITLES = "show_id string, type string, title string, director string, country string, date_added string, " \
+    "release_year int, rating string, duration string, listed_in string, description string"
+
+
+def test_title_analyses_within_the_row(spark):
+    """Repeated names in a list, blank items, null lists, other types."""
+    row = lambda i, t, d, c, g: (i, t, "t" + i, d, c, "March 5, 2020", 2020, "PG", "90 min", g, "")
+    raw = spark.createDataFrame([
+        row("s1", "Movie", "Ann, Ann , Bob", "X, X, Y", "Comedies, Horror , Comedies"),
+        row("s2", "TV Show", "Ann", "X", "comedies"),
+        row("s3", "MOVIE", "Bob", None, "COMEDIES"),
+        row("s4", "Movie", None, "Y", None),
+        row("s5", "Short", "Bob", "Z", "Horror")], TITLES)
+    cat = titles.Catalogue(spark, "", raw)
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    # two types of any name pass: Bob has a movie and a short
+    assert rows(titles.director_type_counts(cat)) == [("Ann", 2, 1), ("Bob", 2, 0)]
+    assert rows(titles.director_type_counts(cat, distinct=True)) == [("Ann", 1, 1), ("Bob", 2, 0)]
+    # s3 takes every country that a title of Bob's has: X, Y, Z
+    assert rows(titles.top_country_for_genre(cat, "comedies")) == [("X", 2)]
+    assert [r[0] for r in rows(titles.top_director_per_year(cat).select("director"))] == ["Bob"]
+    assert rows(titles.both_genre_directors(cat, "Comedies", "horror")) == [("Ann", 1, 1), ("Bob", 2, 1)]
+    assert rows(cat.countries().filter("show_id = 's3'")) == [("s3", "X"), ("s3", "Y"), ("s3", "Z")]
+
+
 def test_fill_by_learned_pairs_only_single_key_rows(spark):
     raw = spark.createDataFrame([("s1", "A", "X"), ("s2", "A", None), ("s3", "A, B", None)],
                                 "id string, director string, country string")
-    d = bridge(raw, "id", "director")
-    c = bridge(raw, "id", "country")
-    got = [(r.id, r.country) for r in
-           fill_by_learned_pairs(raw, "id", "director", "country", d, c, "director", "country")
-           .collect()]
+    got = [(r.id, r.country) for r in fill_by_learned_pairs(raw, "id", "director", "country").collect()]
     assert got == [("s2", "X")]
 
 

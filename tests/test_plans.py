@@ -30,6 +30,14 @@ def test_anti_and_semi_joins(spark):
     assert "LeftSemi" in plan(spark, "duplicate_rows")
 
 
+@pytest.mark.parametrize("name, joins", [
+    ("director_type_counts", 0), ("director_type_counts_distinct", 0), ("top_director_per_year", 0),
+    ("avg_duration_by_genre", 0), ("both_genre_directors", 0), ("top_country_for_genre", 1), ("country_filled", 1)])
+def test_titles_join_only_for_learned_countries(spark, name, joins):
+    p = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert p.count("Join ") == joins
+
+
 def test_as_of_day_filter_reaches_scan(spark):
     p = plan(spark, "every_third_order")
     assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in p
