@@ -152,12 +152,17 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarra
         start = spark.sparkContext.broadcast((weights, squares))
 
         def fit(batches: Iterator[pa.RecordBatch], start=start) -> Iterator[pa.RecordBatch]:
-            examples = sorted((p, t, y) for b in batches for p, t, y in zip(
+            texts = sorted((p, t, y) for b in batches for p, t, y in zip(
                 b["place"].to_pylist(), b["text"].to_pylist(), b["label"].to_pylist(), strict=True))
-            if not examples:
+            if not texts:
                 return
-            w, n = ftrl([(*features(t), y) for _, t, y in examples], *start.value)
-            used = np.flatnonzero(n)
+            examples = [(*features(t), y) for _, t, y in texts]
+            w, n = ftrl(examples, *start.value)
+            # not the slots that only other shards have seen in earlier rounds
+            seen = np.zeros(size, bool)
+            for slots, _, _ in examples:
+                seen[slots] = True
+            used = np.flatnonzero(seen & (n > 0))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(used), pa.array(w[used]), pa.array(n[used]),
                  pa.array(np.full(len(used), len(examples)))], ["slot", "w", "n", "docs"])
@@ -169,7 +174,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarra
         if not found.num_rows:
             return None
         slots = found["slot"].to_numpy()
-        weights, squares = np.zeros(size), np.zeros(size)
+        weights, squares = weights.copy(), squares.copy()
         weights[slots], squares[slots] = found["w"].to_numpy(), found["n"].to_numpy()
     return weights
 
