@@ -65,16 +65,19 @@ def month_over_year(df: DataFrame, year_a: int, year_b: int) -> DataFrame:
 
     return (df.groupBy(mn.alias("mn"))
               .agg(for_year(year_a).alias(f"sales_{year_a}"),
-                   for_year(year_b).alias(f"sales_{year_b}")))
+                   for_year(year_b).alias(f"sales_{year_b}"))
+              .orderBy("mn"))
 
 
 def best_month_by_category(df: DataFrame, literal: bool = False) -> DataFrame:
     """Month (yyyyMM) with the highest sales per category.
 
     ``literal=True`` reproduces the written query, whose window is also
-    partitioned by month, so every (category, month) ranks 1."""
-    rev = (df.groupBy("category", F.date_format("order_date", "yyyyMM").alias("mn"))
-             .agg(revenue().alias("rev")))
+    partitioned by month, so every (category, month) ranks 1. Lines are
+    grouped by the month's number; its text is made once a group."""
+    month = F.year("order_date") * 100 + F.month("order_date")
+    rev = (df.groupBy("category", month.alias("_month")).agg(revenue().alias("rev"))
+             .select("category", F.lpad(F.col("_month").cast("string"), 6, "0").alias("mn"), "rev"))
     groups = ["category", "mn"] if literal else ["category"]
     return top_k_per_group(rev, groups, [F.desc("rev")], k=1, ranker="rank", rank_col="rnk")
 
