@@ -11,7 +11,7 @@ near an entity ``c``, the corpus gives the pointwise mutual information
 that the term alone reveals (1: the term occurs only with it). N, n_t, n_c and
 n_tc count distinct texts, so exact copies weigh once. Terms near an entity
 whose share reaches ``GENERALISE`` (and that stand near it in ``MIN_SUPPORT``
-texts with different surroundings) become spans of kind ``term`` in the texts
+texts, whatever their surroundings) become spans of kind ``term`` in the texts
 with that entity: generalised to their kind, or removed from ``REMOVE`` on.
 
 Only DataFrame functions are used. Patterns are written so that matching is
@@ -147,8 +147,8 @@ def revealing_terms(found: DataFrame, docs: DataFrame, generalise: float = GENER
     near = found.select("tid", F.inline("near"))
     terms = F.array_distinct(F.filter(F.regexp_extract_all(F.lower("context"), F.lit(WORD), F.lit(0)),
                                       lambda w: (F.length(w) >= 3) & ~F.rlike(w, F.lit("^[0-9]+$"))))
-    # distinct surroundings, then texts
-    pairs = (near.select("entity", F.xxhash64("context").alias("context"), F.explode(terms).alias("term"))
+    # a text counts once for a pair, however often and wherever it has it
+    pairs = (near.select("entity", "tid", F.explode(terms).alias("term"))
              .distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_tc")).where(F.col("n_tc") >= min_support))
     pairs = stored(pairs, "pii-pairs")
     if pairs.isEmpty():

@@ -285,6 +285,21 @@ def test_revealing_terms(spark):
     assert pii.find_personal_data(docs(spark).limit(0)).count() == 0
 
 
+def _words_of(row, rows):
+    return {dict(rows)[row.doc_id][t.start:t.end] for t in row.terms}
+
+
+def test_terms_count_texts_not_surroundings(spark):
+    """Many texts with one context give a term; mentions in one text do not."""
+    rows = [(k, f"item{k} {'filler ' * 20} the Quagmire desk, jo@corp.org, answers {'filler ' * 20}") for k in range(30)]
+    rows += [(100 + k, f"the filler desk answers number {k}") for k in range(300)]
+    once = "; ".join(f"{w * 9} Umbrage jim@corp.org {w * 9}" for w in "abcd")
+    rows += [(500, once)]
+    found = {r.doc_id: r for r in pii.find_personal_data(docs(spark, rows)).collect()}
+    assert all("Quagmire" in _words_of(found[k], rows) for k in range(30))
+    assert not found[500].terms
+
+
 # -------------------------------------------------------------------- Jaccard
 
 def _components(rows, n, p, q):
