@@ -4,21 +4,22 @@ terms that give it away.
 Base spans: e-mail addresses, IPv4 addresses, payment cards (Luhn) and phone
 numbers, leftmost and non-overlapping per kind.
 
-Disclosure: a protected entity is a distinct base value. For a term ``t`` seen
-near an entity ``c``, the corpus gives the pointwise mutual information
+Disclosure: a protected entity is a distinct base value. For a term ``t`` in
+the texts of an entity ``c``, the corpus gives the pointwise mutual information
 ``PMI = ln(N * n_tc / (n_t * n_c))`` and the entity's information content
 ``IC = ln(N / n_c)``; ``PMI / IC`` is the share of the entity's information
 that the term alone reveals (1: the term occurs only with it). N, n_t, n_c and
-n_tc count distinct texts, so exact copies weigh once. Terms near an entity
-whose share reaches ``GENERALISE`` (and that stand near it in ``MIN_SUPPORT``
-texts, whatever their surroundings) become spans of kind ``term`` in the texts
-with that entity: generalised to their kind, or removed from ``REMOVE`` on.
+n_tc count distinct texts, so exact copies weigh once; a text has a term if the
+word stands anywhere in it outside the base spans. Terms whose share reaches
+``GENERALISE`` (in ``MIN_SUPPORT`` texts with the entity at least) become spans
+of kind ``term`` in the texts with that entity: generalised to their kind, or
+removed from ``REMOVE`` on.
 
 Only DataFrame functions are used. Patterns are written so that matching is
 linear in a text's length (possessive, each start tried once), which changes no
-match. Co-occurrence is counted over the surroundings of entities, combined
-before every shuffle; term counts look at all documents but only for the terms
-that can reach the threshold.
+match. Co-occurrence is counted over the whole texts of entities with enough
+texts, combined before every shuffle; all documents are looked at only for the
+terms that can still reach the threshold.
 
 Edge cases: null and empty texts have no spans; a null id and repeated rows are
 handled row by row (equal rows share their counts); an empty table gives no
@@ -36,7 +37,6 @@ from tessera.sources.tables import read_table
 GENERALISE = 0.9
 REMOVE = 0.98
 MIN_SUPPORT = 3
-NEAR_CHARS = 80
 BROADCAST_TERMS = 1_000_000
 
 KINDS = ("email", "ip", "card", "phone")
@@ -48,7 +48,8 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-WORD = r"[\p{L}\p{N}]+"
+_IN_WORD = r"\p{L}\p{N}"
+WORD = rf"[{_IN_WORD}]+"
 
 
 def placed(text: Column, pattern: Column | str) -> Column:
@@ -124,55 +125,102 @@ def _entity(kind: Column, value: Column) -> Column:
     return F.concat(kind, F.lit(":"), F.when(kind == "email", F.lower(value)).otherwise(_digits(value)))
 
 
+def _masked(text: Column, spans: Column) -> Column:
+    """The text with its base spans blanked out."""
+    start = F.struct(F.lit("").alias("text"), F.lit(0).alias("at"))
+
+    def step(done: Column, s: Column) -> Column:
+        between = F.substr(text, done["at"] + 1, F.greatest(s["start"] - done["at"], F.lit(0)))
+        return F.struct(F.concat(done["text"], between, F.lit(" ")).alias("text"),
+                        F.greatest(done["at"], s["end"]).alias("at"))
+
+    done = F.aggregate(spans, start, step)
+    return F.concat(done["text"], F.substr(text, done["at"] + 1, F.greatest(F.length(text) - done["at"], F.lit(0))))
+
+
+def _terms(text: Column) -> Column:
+    """The distinct words of a text that may be terms."""
+    return F.array_distinct(F.filter(F.split(F.lower(text), rf"[^{_IN_WORD}]+"),
+                                     lambda w: (F.length(w) >= 3) & ~F.rlike(w, F.lit("^[0-9]+$"))))
+
+
 def find_base(docs: DataFrame) -> DataFrame:
-    """(rid, tid, doc_id, spans, near): base spans of every row, and the text
-    around each entity. ``rid`` tells rows apart, ``tid`` texts."""
+    """(rid, tid, doc_id, spans, entities, words): base spans of every row, and
+    for rows that have some the distinct entities and the distinct words outside
+    the spans. ``rid`` tells rows apart, ``tid`` texts."""
     text = text_or_empty("text")
     rows = docs.select(F.xxhash64("doc_id", "text").alias("rid"), F.xxhash64(text).alias("tid"), "doc_id",
                        text.alias("text"), base_spans(text).alias("spans"))
-    # words cut by the edge of the surroundings are left out
-    before = lambda s: F.regexp_replace(F.substr(
-        "text", F.greatest(s["start"] - NEAR_CHARS, F.lit(0)) + 1, F.least(s["start"], F.lit(NEAR_CHARS))),
-        r"^[\p{L}\p{N}]*+", "")
-    after = lambda s: F.regexp_replace(F.substr("text", s["end"] + 1, F.lit(NEAR_CHARS)), r"[\p{L}\p{N}]++$", "")
-    near = F.transform("spans", lambda s: F.struct(
-        _entity(s["kind"], s["value"]).alias("entity"), F.concat(before(s), F.lit(" "), after(s)).alias("context")))
+    entities = F.array_distinct(F.transform("spans", lambda s: _entity(s["kind"], s["value"])))
+    words = F.when(F.size("spans") > 0, _terms(_masked(F.col("text"), F.col("spans"))))
     return rows.select("rid", "tid", "doc_id", F.transform("spans", lambda s: s.dropFields("value")).alias("spans"),
-                       near.alias("near"))
+                       entities.alias("entities"), words.alias("words"))
+
+
+def _texts_by(rows: DataFrame, *keys: str, name: str) -> DataFrame:
+    """Distinct texts per key. Each of a text's ``copies`` equal rows gives a
+    row, so rows of texts with m copies are counted by m and divided by m."""
+    return rows.groupBy(*keys, "copies").agg(F.count(F.lit(1)).alias("n")).groupBy(*keys).agg(
+        F.sum(F.expr("n div copies")).alias(name))
 
 
 def revealing_terms(found: DataFrame, docs: DataFrame, generalise: float = GENERALISE,
                     min_support: int = MIN_SUPPORT) -> DataFrame:
     """(entity, term, disclosure) of terms that reveal an entity."""
-    near = found.select("tid", F.inline("near"))
-    terms = F.array_distinct(F.filter(F.regexp_extract_all(F.lower("context"), F.lit(WORD), F.lit(0)),
-                                      lambda w: (F.length(w) >= 3) & ~F.rlike(w, F.lit("^[0-9]+$"))))
-    # a text counts once for a pair, however often and wherever it has it
-    pairs = (near.select("entity", "tid", F.explode(terms).alias("term"))
-             .distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_tc")).where(F.col("n_tc") >= min_support))
-    pairs = stored(pairs, "pii-pairs")
+    texts = stored(found.groupBy("tid").agg(F.count(F.lit(1)).alias("copies"),
+                                            F.max(F.size("spans") > 0).alias("holds")), "pii-texts")
+    n_texts = float(texts.count())
+    odd = broadcast_if_small(texts.where("holds or copies > 1"), BROADCAST_TERMS)
+    holders = stored(found.where(F.size("spans") > 0).join(odd.drop("holds"), "tid").select(
+        "copies", "entities", "words"), "pii-holders")
+    # a pair cannot have more texts than its entity
+    entities = _texts_by(holders.select("copies", F.explode("entities").alias("entity")), "entity", name="n_c").where(
+        F.col("n_c") >= min_support)
+    pairs = _texts_by(holders.select("copies", "words", F.explode("entities").alias("entity"))
+                      .join(broadcast_if_small(entities.select("entity"), BROADCAST_TERMS), "entity")
+                      .select("copies", "entity", F.explode("words").alias("term")), "entity", "term", name="n_tc").where(
+        F.col("n_tc") >= min_support)
+
+    def share(n_t: Column) -> Column:
+        pmi = F.log(F.lit(n_texts) * F.col("n_tc") / (n_t * F.col("n_c")))
+        content = F.log(F.lit(n_texts) / F.col("n_c"))
+        return F.when(content > 0, F.least(pmi / content, F.lit(1.0))).otherwise(0.0)
+
+    # the texts that hold any entity bound a term's count from below, and so its share from above
+    held = _texts_by(holders.select("copies", F.explode("words").alias("term")), "term", name="n_held")
+    pairs = stored(pairs.join(entities, "entity").join(held, "term").where(share(F.col("n_held")) >= generalise), "pii-pairs")
     if pairs.isEmpty():
         return pairs.select("entity", "term", F.lit(0.0).alias("disclosure"))
-    n_texts = docs.select(F.xxhash64(text_or_empty("text")).alias("tid")).distinct().count()
-    entities = near.groupBy("entity").agg(F.countDistinct("tid").alias("n_c"))
     wanted = pairs.select("term").distinct()
-    words = docs.select(F.xxhash64(text_or_empty("text")).alias("tid"), F.explode(F.array_distinct(
-        F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))).alias("term"))
-    counts = (words.join(broadcast_if_small(wanted, BROADCAST_TERMS), "term").distinct()
-              .groupBy("term").agg(F.count(F.lit(1)).alias("n_t")))
-    pmi = F.log(F.lit(float(n_texts)) * F.least("n_tc", "n_t") / (F.col("n_t") * F.col("n_c")))
-    content = F.log(F.lit(float(n_texts)) / F.col("n_c"))
-    return (pairs.join(counts, "term").join(entities, "entity")
-            .withColumn("disclosure", F.when(content > 0, F.least(pmi / content, F.lit(1.0))).otherwise(0.0))
+    words = docs.select(F.xxhash64(text_or_empty("text")).alias("tid"), F.explode(_terms(F.col("text"))).alias("term"))
+    others = (words.join(broadcast_if_small(wanted, BROADCAST_TERMS), "term").join(odd, "tid", "left")
+              .where("not coalesce(holds, false)").select("term", F.coalesce("copies", F.lit(1)).alias("copies")))
+    counts = _texts_by(others, "term", name="n_others")
+    return (pairs.join(counts, "term", "left")
+            .withColumn("disclosure", share(F.col("n_held") + F.coalesce("n_others", F.lit(0))))
             .where(F.col("disclosure") >= generalise).select("entity", "term", "disclosure"))
 
 
 def _term_spans(text: Column, terms: Column) -> Column:
-    """Places of each term in a text, with what is to happen to it."""
-    pattern = lambda t: F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])"), t, F.lit(r"(?![\p{L}\p{N}])"))
-    return F.flatten(F.transform(terms, lambda t: F.transform(placed(text, pattern(t["term"])), lambda m: F.struct(
-        m["start"].alias("start"), F.lit(len(KINDS)).alias("place"), F.lit(TERM).alias("kind"),
-        m["end"].alias("end"), (t["disclosure"] >= REMOVE).alias("remove")))))
+    """Places of the terms in a text, with what is to happen to them, in one
+    walk over its words."""
+    found = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    gaps = F.split(text, WORD, -1)
+    known, shares = F.transform(terms, lambda t: t["term"]), F.transform(terms, lambda t: t["disclosure"])
+    pieces = F.zip_with(F.slice(gaps, F.lit(1), F.size(found)), found, lambda gap, word: F.struct(
+        F.length(gap).alias("gap"), F.length(word).alias("size"), F.array_position(known, F.lower(word)).alias("which")))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(
+        "array<struct<start:int,place:int,kind:string,end:int,remove:boolean>>").alias("spans"))
+
+    def step(done: Column, piece: Column) -> Column:
+        at = done["at"] + piece["gap"]
+        span = F.struct(at.alias("start"), F.lit(len(KINDS)).alias("place"), F.lit(TERM).alias("kind"),
+                        (at + piece["size"]).alias("end"),
+                        (F.get(shares, (piece["which"] - 1).cast("int")) >= REMOVE).alias("remove"))
+        return F.struct((at + piece["size"]).alias("at"), F.when(
+            piece["which"] > 0, F.concat(done["spans"], F.array(span))).otherwise(done["spans"]).alias("spans"))
+
+    return F.when(F.size(found) > 0, F.aggregate(pieces, start, step)["spans"]).otherwise(start["spans"])
 
 
 def find_personal_data(docs: DataFrame, generalise: float = GENERALISE, min_support: int = MIN_SUPPORT) -> DataFrame:
@@ -183,7 +231,7 @@ def find_personal_data(docs: DataFrame, generalise: float = GENERALISE, min_supp
     none = F.array().cast("array<struct<start:int,place:int,kind:string,end:int,remove:boolean>>")
     if reveal.isEmpty():
         return found.select("rid", "doc_id", "spans", none.alias("terms"))
-    at_risk = (found.select("rid", F.explode(F.array_distinct(F.transform("near", lambda x: x["entity"]))).alias("entity"))
+    at_risk = (found.select("rid", F.explode("entities").alias("entity"))
                .join(reveal, "entity").groupBy("rid", "term").agg(F.max("disclosure").alias("disclosure"))
                .groupBy("rid").agg(F.collect_list(F.struct("term", "disclosure")).alias("known")))
     texts = docs.where(F.rlike("text", F.lit("[@+]|[0-9]"))).select(

@@ -300,6 +300,36 @@ def test_terms_count_texts_not_surroundings(spark):
     assert not found[500].terms
 
 
+def test_terms_anywhere_in_the_text(spark):
+    """Brute force over whole texts, copies and words inside base spans too."""
+    rng = random.Random(12)
+    people = {f"p{k}@corp{k}.org": [f"name{k}", f"office{k}", f"corp{k}"] for k in range(5)}
+    common = [f"w{'abcdefghij'[k % 10]}{'abcdefghij'[k // 10]}" for k in range(60)]
+    rows = []
+    for k in range(260):
+        words = rng.choices(common, k=rng.randint(60, 120))
+        for mail in rng.sample(sorted(people), rng.choice([0, 0, 0, 1, 2])):
+            words = [w for w in people[mail] if rng.random() < 0.9] + words + [mail]
+        rows.append((k, " ".join(words).capitalize()))
+    rows += [(1000 + k, rows[k % 9][1]) for k in range(40)] + [rows[3], (None, rows[4][1])]
+    texts = [(set(re.findall(r"[a-z0-9.]+@[a-z0-9.]+", t.lower())),
+              set(re.findall(r"\w{3,}", re.sub(r"\S+@\S+", " ", t.lower())))) for t in {t for _, t in rows}]
+    expected = {}
+    for mail, term in {(m, w) for ms, ws in texts for m in ms for w in ws}:
+        n_c, n_t = sum(mail in m for m, _ in texts), sum(term in w for _, w in texts)
+        n_tc = sum(mail in m and term in w for m, w in texts)
+        share = np.log(len(texts) * n_tc / (n_t * n_c)) / np.log(len(texts) / n_c)
+        if n_tc >= 3 and share >= 0.9:
+            expected[f"email:{mail}", term] = share
+    frame = docs(spark, rows)
+    found = {(r.entity, r.term): r.disclosure for r in pii.revealing_terms(pii.find_base(frame), frame).collect()}
+    assert len(expected) > 8 and found == pytest.approx(expected)
+    for r in pii.find_personal_data(frame).where("doc_id is not null").collect():
+        text = dict(rows)[r.doc_id]
+        assert _words_of(r, rows) == {w for w in re.findall(r"\w+", re.sub(r"\S+@\S+", " ", text)) if any(
+            (f"email:{m}", w.lower()) in expected for m in re.findall(r"\S+@\S+", text.lower()))}
+
+
 # -------------------------------------------------------------------- Jaccard
 
 def _components(rows, n, p, q):
