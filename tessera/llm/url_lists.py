@@ -4,7 +4,7 @@ and every capture is judged by the entries active when it was fetched.
 An entry is (list, rule, pattern, action, at): ``rule`` is ``block`` or
 ``allow``, ``action`` is ``add`` or ``remove``. A pattern is a domain
 (``example.org``, which covers its subdomains) or a host with a path prefix
-(``www.example.org/fr``). The most specific (longest) active pattern decides;
+(``www.example.org/fr``) of any depth. The most specific (longest) active pattern decides;
 of equally long ones ``allow`` wins, then the first list by name.
 
 Only DataFrame functions are used. Intervals are cut at month boundaries and
@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 
 from tessera.sources.tables import read_table
 
-MAX_PATH_SEGMENTS = 3
 DAY = "INTERVAL 1 DAY"
 
 
@@ -41,10 +40,10 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)", 1)
 
 
-def candidate_patterns(url: Column) -> Column:
+def candidate_patterns(url: Column, max_segments: int) -> Column:
     """Every pattern that would cover the URL: the host's suffixes of two
     labels or more (a host of one label: itself) and the host with its first
-    path segments."""
+    path segments, up to ``max_segments`` of them."""
     host = host_of(url)
     labels = F.split(host, r"\.")
     n = F.size(labels)
@@ -52,7 +51,7 @@ def candidate_patterns(url: Column) -> Column:
         F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))),
         lambda i: F.array_join(F.slice(labels, i, n - i + 1), "."))
     segments = F.filter(F.split(path_of(url), "/"), lambda s: s != "")
-    depth = F.least(F.size(segments), F.lit(MAX_PATH_SEGMENTS))
+    depth = F.least(F.size(segments), F.lit(max_segments))
     prefixes = F.when(depth > 0, F.transform(
         F.sequence(F.lit(1), depth),
         lambda i: F.concat(host, F.lit("/"), F.array_join(F.slice(segments, F.lit(1), i), "/")),
@@ -96,6 +95,8 @@ def judge_captures(captures: DataFrame, entries: DataFrame, id_col: str = "page_
     lo, hi = rows.agg(F.trunc(F.min("fetched_at"), "month"),
                       F.trunc(F.max("fetched_at"), "month")).first()
     lo, hi = F.lit(lo).cast("date"), F.lit(hi).cast("date")
+    # one number: the path segments of the longest pattern, beyond which no prefix can match
+    deepest = entries.agg(F.max(F.size(F.split("pattern", "/")) - 1)).first()[0] or 0
     month = lambda c: F.trunc(c, "month")
     intervals = (
         validity_intervals(entries)
@@ -105,7 +106,7 @@ def judge_captures(captures: DataFrame, entries: DataFrame, id_col: str = "page_
         .withColumn("month", F.explode(F.sequence("a", "b", F.expr("INTERVAL 1 MONTH"))))
         .select("list", "rule", "pattern", "valid_from", "valid_to", "month"))
     probes = rows.withColumn("month", month("fetched_at")) \
-        .withColumn("pattern", F.explode(candidate_patterns(F.col("url"))))
+        .withColumn("pattern", F.explode(candidate_patterns(F.col("url"), max(deepest, 0))))
     active = probes.join(intervals, ["pattern", "month"]).where(
         "valid_from <= fetched_at and (valid_to is null or fetched_at < valid_to)")
     hit = F.struct((-F.length("pattern")).alias("order"),
@@ -126,7 +127,9 @@ def judge_captures(captures: DataFrame, entries: DataFrame, id_col: str = "page_
 
 # Inputs of the registered query, derived from ``pages``: the tables hold
 # neither fetch times nor lists. A page's fetch time spreads the ids over one
-# year; lists name domains, hosts and first path segments that occur.
+# year; lists name domains, hosts and first path segments (up to
+# ``MAX_PATH_SEGMENTS``, as in the SQL) that occur.
+MAX_PATH_SEGMENTS = 3
 START = "2024-01-01 00:00:00"
 YEAR_SECONDS = 366 * 86_400
 LISTS = (("adult", "block"), ("malware", "block"), ("partner", "allow"), ("spam", "block"))
@@ -142,7 +145,8 @@ def page_list_entries(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """Dated entries over every pattern that covers some page, placed by the
     md5 of list and pattern: about a quarter of them per list is added at some
     day, two thirds of those are removed again and a fifth comes back."""
-    patterns = pages.select(F.explode(candidate_patterns(F.col("url"))).alias("pattern")).distinct()
+    patterns = pages.select(F.explode(
+        candidate_patterns(F.col("url"), MAX_PATH_SEGMENTS)).alias("pattern")).distinct()
     lists = F.array(*[F.struct(F.lit(n).alias("list"), F.lit(r).alias("rule")) for n, r in LISTS])
     hashed = patterns.select("pattern", F.inline(lists)).withColumn("h", F.conv(F.substring(
         F.md5(F.concat("list", F.lit(":"), "pattern")), 1, 6), 16, 10).cast("long")).where("h % 4 = 0")

@@ -200,6 +200,19 @@ def test_url_lists(spark):
     assert not any(r.blocked for r in url_lists.judge_captures(captures, entries.limit(0)).collect())
 
 
+def test_deep_url_patterns(spark):
+    deep = "www.bad.org/a/b/c/d/e"
+    entries = spark.createDataFrame(
+        [("spam", "block", "www.bad.org/a/b/c/d", "add", "2024-01-01"), ("ok", "allow", deep, "add", "2024-01-01")],
+        "list string, rule string, pattern string, action string, at string").withColumn("at", F.to_timestamp("at"))
+    captures = spark.createDataFrame(
+        [(1, "http://www.bad.org/a/b/c/d"), (2, f"http://{deep}/f/g?q"), (3, "http://www.bad.org/a/b/c"),
+         (4, "http://www.bad.org//a/b//c/d/x")], "page_id long, url string").withColumn("fetched_at", F.to_timestamp(F.lit("2024-02-01")))
+    found = {r.page_id: (r.blocked, r.pattern) for r in url_lists.judge_captures(captures, entries).collect()}
+    blocked = (True, "www.bad.org/a/b/c/d")
+    assert found == {1: blocked, 2: (False, deep), 3: (False, None), 4: blocked}
+
+
 # ------------------------------------------------------------------ classifier
 
 def _labelled(n):
