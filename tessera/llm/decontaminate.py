@@ -5,11 +5,14 @@ names (capitalised words inside a sentence) turn into typed placeholders, all
 else is lower-cased words. Windows of ``WINDOW`` tokens are hashed and joined
 with the windows of the benchmark items. Matches that lie on one diagonal
 (document position less item position) form an alignment; there, each value of
-an item's slot must stand for one value in the document throughout. So an item
-is found verbatim, and also with other numbers, names or units put in.
+an item's slot must stand for one value in the document throughout, or at least
+each value in one role (the ``ROLE_TOKENS`` tokens on either side), as equal
+values may mean different things. So an item is found verbatim, and also with
+other numbers, names or units put in.
 
 A document holds an item if an alignment covers ``MIN_COVERAGE`` of the item's
-tokens or at least ``MIN_TOKENS`` of them, and its slots are consistent.
+tokens or at least ``MIN_TOKENS`` of them, and its slots are consistent or its
+windows without a changed slot cover as much alone.
 
 Only DataFrame functions are used. Benchmark windows are broadcast when their
 counted rows are within ``BROADCAST_WINDOWS``, and shuffled otherwise; only
@@ -35,6 +38,7 @@ MIN_WORDS = 4
 MIN_COVERAGE = 0.5
 MIN_TOKENS = 13
 MIN_CONSISTENT = 0.75
+ROLE_TOKENS = 2
 BROADCAST_WINDOWS = 1_000_000
 
 # Unit words that follow a number.
@@ -92,6 +96,22 @@ def _document_windows(docs: DataFrame, lengths: list[int]) -> DataFrame:
     return out
 
 
+def _covered(at: Column) -> Column:
+    """Tokens that the windows at these item positions cover."""
+    return F.aggregate(F.transform(at, lambda x, k: F.least(F.col("length"), F.coalesce(
+        x - F.get(at, k - 1), F.col("length")))), F.lit(0), lambda a, x: a + x)
+
+
+def _enough(tokens: Column) -> Column:
+    return (tokens >= MIN_COVERAGE * F.col("item_tokens")) | (tokens >= MIN_TOKENS)
+
+
+def _role(i: Column) -> Column:
+    """The tokens around place ``i`` (0 first) of a template."""
+    before = F.slice("template", F.greatest(i - ROLE_TOKENS, F.lit(0)) + 1, F.least(i, F.lit(ROLE_TOKENS)))
+    return F.struct(before, F.slice("template", i + 2, F.lit(ROLE_TOKENS)))
+
+
 def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """(rid, doc_id, item_id, covered_tokens, item_tokens, n_slots,
     reparameterised): a row per document and item it holds. ``rid`` tells rows
@@ -110,25 +130,33 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     aligned = hits.groupBy("rid", "doc_id", "item_id", (F.col("pos") + 1 - F.col("item_pos")).alias("shift")).agg(
         F.first("item_tokens").alias("item_tokens"), F.first("length").alias("length"),
         F.sort_array(F.collect_set("item_pos")).alias("at"))
-    covered = F.aggregate(
-        F.transform("at", lambda x, k: F.least(F.col("length"), F.coalesce(
-            x - F.get("at", k - 1), F.col("length")))), F.lit(0), lambda a, x: a + x)
-    aligned = aligned.withColumn("covered_tokens", covered).where(
-        (F.col("covered_tokens") >= MIN_COVERAGE * F.col("item_tokens")) | (F.col("covered_tokens") >= MIN_TOKENS))
-    slots = F.filter(F.transform("tokens", lambda t, i: F.struct(i.alias("i"), t.alias("value"))),
+    aligned = aligned.withColumn("covered_tokens", _covered(F.col("at"))).where(_enough(F.col("covered_tokens")))
+    slots = F.filter(F.transform("tokens", lambda t, i: F.struct(i.alias("i"), t.alias("value"), _role(i).alias("role"))),
                      lambda s: _is_slot(s["value"]))
     aligned = aligned.join(items.select("item_id", slots.alias("slots")), "item_id")
     # slots that no document token can change need no look at the document
     plain = aligned.where("size(slots) = 0").withColumn("n_slots", F.lit(0)).withColumn(
         "consistent", F.lit(True)).withColumn("reparameterised", F.lit(False))
+    within = lambda i, a: (i + 1 >= a) & (i + 1 < a + F.col("length"))
     paired = F.transform(
-        F.filter("slots", lambda s: F.exists("at", lambda a: (s["i"] + 1 >= a) & (s["i"] + 1 < a + F.col("length")))),
-        lambda s: F.struct(s["value"].alias("item"), F.get("tokens", s["i"] + F.col("shift")).alias("doc")))
+        F.filter("slots", lambda s: F.exists("at", lambda a: within(s["i"], a))),
+        lambda s: F.struct(s["i"].alias("i"), s["role"].alias("role"), s["value"].alias("item"),
+                           F.get("tokens", s["i"] + F.col("shift")).alias("doc")))
+
+    def one_to_one(*key: str) -> Column:
+        """Whether values of the item stand for one value each, told apart by ``key``."""
+        distinct = lambda *names: F.size(F.array_distinct(F.transform(
+            "pairs", lambda x: F.struct(*[x[n].alias(n) for n in names]))))
+        return distinct(*key) >= MIN_CONSISTENT * distinct(*key, "doc")
+
+    changed = F.filter("pairs", lambda x: x["item"] != x["doc"])
+    verbatim = F.filter("at", lambda a: ~F.exists("changed", lambda x: within(x["i"], a)))
     slotted = (aligned.where("size(slots) > 0").join(tokens.select("rid", "tokens").dropDuplicates(["rid"]), "rid")
                .withColumn("pairs", paired).withColumn("n_slots", F.size("pairs"))
-               .withColumn("consistent", F.size(F.array_distinct(F.transform("pairs", lambda x: x["item"])))
-                           >= MIN_CONSISTENT * F.size(F.array_distinct("pairs")))
-               .withColumn("reparameterised", F.exists("pairs", lambda x: x["item"] != x["doc"])))
+               .withColumn("changed", changed).withColumn("verbatim", verbatim)
+               .withColumn("consistent", one_to_one("item") | one_to_one("item", "role")
+                           | _enough(_covered(F.col("verbatim"))))
+               .withColumn("reparameterised", F.size("changed") > 0))
     columns = ["rid", "doc_id", "item_id", "covered_tokens", "item_tokens", "n_slots", "reparameterised"]
     held = plain.where("consistent").select(*columns).unionByName(slotted.where("consistent").select(*columns))
     best = F.max(F.struct("covered_tokens", "n_slots", "reparameterised", "item_tokens")).alias("best")

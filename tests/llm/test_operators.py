@@ -137,6 +137,15 @@ def test_slots_must_be_consistent(spark):
     assert {(d, i) for d, i, _ in _held(spark, [same, torn], [item])} == {(0, 0)}
 
 
+def test_equal_values_in_different_roles(spark):
+    balls = "a bag holds {} red balls and {} blue balls so there are {} in total"
+    once = ("everyone who came early to the old market could see how the men put all of their bread on a table "
+            "where we count {} boxes and we count {} boxes and {} bags")
+    texts = [balls.format(3, 7, 10), once.format(12, 13, 30), once.format(12, 12, 30), once.format(1, 2, 3)]
+    found = _held(spark, texts, [balls.format(5, 5, 10), once.format(12, 12, 30)])
+    assert found == {(0, 0, True), (1, 1, True), (2, 1, False), (3, 1, True)}
+
+
 # ------------------------------------------------------------------- line dedup
 
 def _dedup(rows):
