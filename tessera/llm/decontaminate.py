@@ -19,8 +19,9 @@ counted rows are within ``BROADCAST_WINDOWS``, and shuffled otherwise; only
 alignments, never windows of documents, are shuffled in the first case.
 
 Edge cases: null and empty texts hold nothing; an item shorter than a window
-is one window of its own length; a window needs ``MIN_WORDS`` (or half of its)
-tokens that are no placeholders; rows that repeat an id are searched each, and
+is one window of its own length; a window with under ``MIN_WORDS`` (or half of
+its) tokens that are no placeholders is compared with its values, so rows of
+numbers are found verbatim only; rows that repeat an id are searched each, and
 equal rows give one result; a document without an id is searched as well (its
 pair has a null id); empty tables give no rows; other columns pass the stage.
 """
@@ -70,26 +71,44 @@ def _template(tokens: Column) -> Column:
     return F.transform(tokens, lambda t: F.when(_is_slot(t), F.substring(t, 1, 2)).otherwise(t))
 
 
+def _poor(part: Column, length: Column) -> Column:
+    """Whether a window of a template has too few words."""
+    return F.size(F.filter(part, lambda t: ~_is_slot(t))) < F.least(F.lit(MIN_WORDS), F.ceil(length / 2))
+
+
+def _values_hash(tokens: Column) -> Column:
+    """Hash of a window's values, whatever their types; unlike any template's."""
+    values = F.transform(tokens, lambda t: F.when(_is_slot(t), F.substr(t, F.lit(3))).otherwise(t))
+    return F.xxhash64(F.concat(F.array(F.lit(MARK)), values))
+
+
 def item_windows(items: DataFrame, window: int) -> DataFrame:
-    """(hash, length, item_id, item_pos, item_tokens): the benchmark's windows
-    that have enough words."""
+    """(hash, length, poor, item_id, item_pos, item_tokens): the benchmark's
+    windows, by template or, if they are poor in words, by values."""
     size = F.least(F.size("template"), F.lit(window))
     rows = items.where("size(template) > 0").select(
-        "item_id", "template", F.size("template").alias("item_tokens"), size.alias("length"),
+        "item_id", "template", "tokens", F.size("template").alias("item_tokens"), size.alias("length"),
         F.explode(F.sequence(F.lit(1), F.size("template") - size + 1)).alias("item_pos"))
     part = F.slice("template", F.col("item_pos"), F.col("length"))
-    words = F.size(F.filter(part, lambda t: ~_is_slot(t)))
-    return rows.where(words >= F.least(F.lit(MIN_WORDS), F.ceil(F.col("length") / 2))).select(
-        F.xxhash64(part).alias("hash"), "length", "item_id", "item_pos", "item_tokens")
+    values = F.slice("tokens", F.col("item_pos"), F.col("length"))
+    return rows.withColumn("poor", _poor(part, F.col("length"))).select(
+        F.when(F.col("poor"), _values_hash(values)).otherwise(F.xxhash64(part)).alias("hash"),
+        "length", "poor", "item_id", "item_pos", "item_tokens")
 
 
-def _document_windows(docs: DataFrame, lengths: list[int]) -> DataFrame:
+def _document_windows(docs: DataFrame, lengths: dict[int, bool]) -> DataFrame:
     """(rid, doc_id, pos, hash, length): windows of every length that occurs
-    in the benchmark (one, unless items are shorter than a window)."""
+    in the benchmark (one, unless items are shorter than a window); by values
+    as well where the benchmark has windows of that length poor in words."""
     n = F.size("template")
     out = None
-    for k in lengths:
-        hashed = lambda i: F.xxhash64(F.slice("template", i, F.lit(k)))  # noqa: B023, E731 -- called at once
+    for k, values in lengths.items():
+        def hashed(i: Column) -> Column:
+            part = F.slice("template", i, F.lit(k))  # noqa: B023 -- called at once
+            if not values:  # noqa: B023
+                return F.xxhash64(part)
+            return F.when(_poor(part, F.lit(k)), _values_hash(F.slice("tokens", i, F.lit(k)))).otherwise(F.xxhash64(part))  # noqa: B023
+
         windows = F.when(n >= k, F.transform(F.sequence(F.lit(1), n - k + 1), hashed))
         part = docs.select("rid", "doc_id", F.posexplode(windows).alias("pos", "hash"), F.lit(k).alias("length"))
         out = part if out is None else out.unionByName(part)
@@ -121,11 +140,10 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     items = (benchmark.where("item_id is not null").select("item_id", canonical_tokens(F.col("text")).alias("tokens"))
              .withColumn("template", _template(F.col("tokens"))))
     windows = item_windows(items, window)
-    lengths = sorted(r[0] for r in windows.select("length").distinct().collect())  # at most ``window``
-    if not lengths:
-        lengths = [window]
-    hits = _document_windows(tokens.select("rid", "doc_id", _template(F.col("tokens")).alias("template")), lengths) \
-        .join(broadcast_if_small(windows, BROADCAST_WINDOWS), ["hash", "length"])
+    # at most ``window`` rows
+    lengths = dict(sorted(tuple(r) for r in windows.groupBy("length").agg(F.max("poor")).collect())) or {window: False}
+    hits = _document_windows(tokens.select("rid", "doc_id", "tokens", _template(F.col("tokens")).alias("template")), lengths) \
+        .join(broadcast_if_small(windows.drop("poor"), BROADCAST_WINDOWS), ["hash", "length"])
     # an alignment: the matched item positions on one diagonal, bounded by the item
     aligned = hits.groupBy("rid", "doc_id", "item_id", (F.col("pos") + 1 - F.col("item_pos")).alias("shift")).agg(
         F.first("item_tokens").alias("item_tokens"), F.first("length").alias("length"),

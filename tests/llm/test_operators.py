@@ -146,6 +146,14 @@ def test_equal_values_in_different_roles(spark):
     assert found == {(0, 0, True), (1, 1, True), (2, 1, False), (3, 1, True)}
 
 
+def test_windows_poor_in_words_are_found_verbatim(spark):
+    sums = "Compute 12 * 34 + 56 - 78 * 9"
+    row = "It was 3 kg 14 lb 15 oz 92 g 65 mg 35 km 89 m 79 cm then"
+    texts = [sums, f"He wrote, {sums} and left", sums.replace("34", "35"), row, row.replace("9", "8")]
+    found = _held(spark, texts, [sums, row])
+    assert found == {(0, 0, False), (1, 0, False), (3, 1, False)}
+
+
 # ------------------------------------------------------------------- line dedup
 
 def _dedup(rows):
