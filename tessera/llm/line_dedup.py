@@ -24,7 +24,8 @@ Edge cases: a null or empty text is one empty line and stays as it is; a
 document whose id is null keeps all its lines and owns none; rows that repeat a
 document id are one document (both keep the lines that the id owns); an empty
 table gives an empty result; other columns pass through, except that columns
-named like the two counts are replaced.
+named like the two counts are replaced. A document all of whose lines go stays
+as an empty text; the pipeline's stage drops it.
 """
 
 from __future__ import annotations
@@ -277,9 +278,11 @@ def op4_line_dedup(spark, sf_dir) -> DataFrame:
 
 
 def pipeline_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with repeated lines dropped; ``n_chars`` follows the text."""
-    kept = dedup_lines(docs, counts=(fresh(docs, "n_lines"), fresh(docs, "n_dropped"))).select(
-        *[f"`{c}`" for c in docs.columns])
+    """Documents with repeated lines dropped; ``n_chars`` follows the text. A
+    document that lost lines and keeps nothing but white space goes as a whole."""
+    before, gone = fresh(docs, "n_lines"), fresh(docs, "n_dropped")
+    kept = dedup_lines(docs, counts=(before, gone)).where(
+        (F.col(f"`{gone}`") == 0) | F.rlike("text", F.lit(r"[^\x20\x09-\x0D]"))).select(*[f"`{c}`" for c in docs.columns])
     return replaced(kept, "n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 

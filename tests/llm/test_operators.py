@@ -186,6 +186,14 @@ def test_line_dedup(spark):
     assert all(r.n_chars == len(r.text or "") for r in staged.collect() if r.n_chars is not None)
 
 
+def test_stage_drops_emptied_documents(spark):
+    rows = [(1, f"{LINE}\n{LINE}"), (2, LINE), (3, f"{LINE}\n\n "), (4, f"{LINE}\nmore"), (5, ""), (6, None), (7, " \n"), (None, LINE), (1, LINE)]
+    found = line_dedup.pipeline_stage(spark, clashing(spark, rows), "").collect()
+    assert sorted(((r.doc_id, r.text) for r in found), key=str) == sorted(
+        [(1, f"{LINE}\n{LINE}"), (4, "more"), (5, ""), (6, None), (7, " \n"), (None, LINE), (1, LINE)], key=str)
+    assert line_dedup.dedup_lines(docs(spark, rows)).count() == len(rows)
+
+
 def test_minimal_perfect_hash():
     a, b = (np.random.default_rng(k).integers(0, 1 << 63, 20_000, dtype=np.uint64) for k in (1, 2))
     hashed = line_dedup.MinimalPerfectHash.build(a, b)
