@@ -1,7 +1,7 @@
 """Every registered query against its independent DuckDB SQL at sf0.01."""
 
 import pytest
-from conftest import SF_ORACLE
+from data_dirs import SF_ORACLE
 
 from __spark_entry__ import entry, oracle_sql, queries
 from tessera.plans.compare import compare, duckdb_connection

@@ -1,7 +1,7 @@
 """Plan-shape assertions: the physical operators the scale design relies on."""
 
 import pytest
-from conftest import SF_SMALL
+from data_dirs import SF_SMALL
 
 from tessera.plans.registry import QUERIES
 

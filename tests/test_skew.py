@@ -3,7 +3,7 @@ answer, and the plans combine per customer before any shuffle."""
 
 import pandas as pd
 import pytest
-from conftest import SF_SMALL
+from data_dirs import SF_SMALL
 from pyspark.sql import functions as F
 
 from tessera.plans import adapters as A

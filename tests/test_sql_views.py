@@ -3,7 +3,7 @@ DataFrame plans (dialect notes: TOP n -> LIMIT n; QUALIFY -> filtered
 subquery; case-insensitive literals -> lower())."""
 
 import pytest
-from conftest import SF_ORACLE
+from data_dirs import SF_ORACLE
 
 from tessera.plans.registry import QUERIES
 from tessera.plans.views import register_views
