@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tessera.llm import (decontaminate, jaccard_join, line_dedup, pii, quality_classifier,
-                         quality_rules, sentencepiece_fst, token_pack, url_lists, warc)
+                         quality_rules, sentencepiece_fst, token_align, token_pack, url_lists, warc)
 from tessera.sources.tables import read_table
 
 QUERIES = {
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_jaccard_join": jaccard_join.op8_jaccard_join,
     "op9_sentencepiece": sentencepiece_fst.op9_sentencepiece,
     "op10_quality_rules": quality_rules.op10_quality_rules,
+    "op13_token_align": token_align.op13_token_align,
 }
 
 #: The others are tested against brute force: no SQL tells their results.
