@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from tessera.llm import (decontaminate, jaccard_join, line_dedup, pii, quality_classifier,
-                         quality_rules, sentencepiece_fst, token_align, token_pack, url_lists, warc)
+from tessera.llm import (decontaminate, jaccard_join, line_dedup, pii, projection_forest,
+                         quality_classifier, quality_rules, sentencepiece_fst, spelling_variants, token_align, token_pack, url_lists,
+                         warc)
 from tessera.sources.tables import read_table
 
 QUERIES = {
@@ -17,6 +18,8 @@ QUERIES = {
     "op8_jaccard_join": jaccard_join.op8_jaccard_join,
     "op9_sentencepiece": sentencepiece_fst.op9_sentencepiece,
     "op10_quality_rules": quality_rules.op10_quality_rules,
+    "op11_projection_forest": projection_forest.op11_projection_forest,
+    "op12_spelling_variants": spelling_variants.op12_spelling_variants,
     "op13_token_align": token_align.op13_token_align,
 }
 
