@@ -12,7 +12,7 @@ documents by a join on the text's SHA-256.
 
 Within a worker, texts are cut further at places where both tokenizers always
 cut (checked against the vocabularies on load, ``Aligner.cuts``), and short
-segments are aligned once per worker as long as they stay in a bounded cache.
+segments are tokenised once per worker as long as they stay in a bounded cache.
 What is returned does not depend on those cuts.
 
 The table of pair counts is the only thing that goes through the driver. Its
@@ -34,6 +34,7 @@ import functools
 import hashlib
 import json
 import re
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -46,10 +47,11 @@ from tessera.llm.common import ship_package, stored
 from tessera.sources.tables import read_table
 
 SPACE = "▁"
-#: Before a space and after one of these both tokenizers cut, if ``cuts`` holds.
-#: Not before a last space: the second puts no space before an empty text.
-CUT = re.compile("(?<=[!-~À-ɏ])(?= .)", re.DOTALL)
-CACHED_SEGMENTS = 200_000
+#: Where both tokenizers cut, if ``cuts`` holds: after a visible character, before
+#: a space (not before a last one: the second puts no space before an empty text)
+#: or before a line end that a visible character follows.
+CUT = re.compile("(?<=[!-~À-ɏ])(?= .|\n[!-~À-ɏ])", re.DOTALL)
+CACHED_SEGMENTS = 400_000
 CACHED_CHARS = 48
 TEXTS_AT_ONCE = 256
 ALIGNED = ("key string, copies long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
@@ -88,62 +90,94 @@ class Aligner:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else
                         b"" if self.b.is_control(i) or self.b.is_unknown(i) else p.replace(SPACE, " ").encode()
                         for i, p in enumerate(pieces)]
+        self.a_size, self.b_size = (np.array([len(x) for x in table]) for table in (self.a_bytes, self.b_bytes))
+        # how an id is written: first of a group and later, in a and in b
+        self.written = np.array([b"%c%d" % (sign, i) for table, signs in ((self.a_bytes, b";,"), (self.b_bytes, b"|,"))
+                                 for sign in signs for i in range(len(table))], object)
         self.cuts = self._always_cut(byte_path, pieces)
-        self.cache: dict[str, tuple | None] = {}
+        self.cache: dict[str, tuple[bytes, bytes] | None] = {}
 
     def _always_cut(self, byte_path: str, pieces: list[str]) -> bool:
-        """Whether both cut before a space that follows a visible character:
-        the first by its pattern for words, the second because no piece holds
-        such a place and its characters map to themselves."""
+        """Whether both cut at ``CUT``: the first by its pattern for words, the
+        second because no piece holds such a place, line ends are bytes of
+        their own, and the characters around map to themselves."""
         with open(byte_path, encoding="utf-8") as file:
             spec = json.load(file)
         before = spec.get("pre_tokenizer") or {}
         plain = (before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
                  and spec.get("normalizer") is None and not spec["model"].get("dropout"))
         spaced = self.b.encode(" a  b") == self.b.encode(" a") + self.b.encode(" b")
-        return bool(plain and spaced and not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in pieces)
-                    and all(self.b.normalize(c) == SPACE + c for c in map(chr, [*range(0x21, 0x7f), *range(0xc0, 0x250)])))
+        self.space = self.b.piece_to_id(SPACE)
+        line = self.b.encode("\na")
+        lined = line[0] == self.space and self.b.encode("b\na") == self.b.encode("b") + line[1:]
+        visible = [chr(c) for c in (*range(0x21, 0x7f), *range(0xc0, 0x250))]
+        return bool(plain and spaced and lined and not any(re.search(f"[^{SPACE}]{SPACE}|\n", p) for p in pieces)
+                    and all(self.b.normalize(c) == SPACE + c for c in visible) and self.b.normalize("a\nb") == SPACE + "a\nb")
 
     def segments(self, text: str) -> list[str]:
         return CUT.split(" " + text) if self.cuts else [" " + text]
 
-    def _aligned(self, segment: str, a: list[int]) -> tuple | None:
-        """(tokens of a, tokens of b, groups as text, pair codes) of one
-        segment, which begins with a space; None if the bytes differ."""
-        b = self.b.encode(segment[1:])
-        x, y = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
+    def _ids(self, segment: str, a: list[int], b: list[int]) -> tuple[bytes, bytes] | None:
+        """Both tokenizers' ids of one segment; None if the bytes differ."""
         whole = segment.encode()
-        if b"".join(x) != whole or b"".join(y) != whole:
+        if (b"".join([self.a_bytes[i] for i in a]) != whole or b"".join([self.b_bytes[i] for i in b]) != whole):
             return None
-        groups, codes, width = [], [], len(self.b_bytes)
-        i = j = begin_a = begin_b = end_a = end_b = 0
-        while i < len(x):
-            end_a += len(x[i])
-            i += 1
-            while end_b < end_a:
-                end_b += len(y[j])
-                j += 1
-            if end_a == end_b:
-                groups.append(",".join(map(str, a[begin_a:i])) + "|" + ",".join(map(str, b[begin_b:j])))
-                codes.append(a[i - 1] * width + b[j - 1])
-                begin_a, begin_b = i, j
-        return len(a), len(b), ";".join(groups), codes
-
-    def align(self, texts: list[str]) -> list[list[tuple] | None]:
-        """The aligned segments of each text; None where the bytes differ."""
-        parts = [self.segments(t) for t in texts]
-        found = {s: self.cache[s] for s in set(chain.from_iterable(parts)) & self.cache.keys()}
-        new = [s for s in set(chain.from_iterable(parts)) if s not in found]
-        for segment, coded in zip(new, self.a.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            found[segment] = self._aligned(segment, coded.ids)
-        if len(self.cache) + len(new) > CACHED_SEGMENTS:
-            self.cache = {s: v for s, v in found.items() if len(s) <= CACHED_CHARS}
-        else:
-            self.cache.update((s, found[s]) for s in new if len(s) <= CACHED_CHARS)
-        out: list[list[tuple] | None] = []
+        return array("i", a).tobytes(), array("i", b).tobytes()
+
+    def encode(self, texts: list[str]) -> list[tuple[bytes, bytes] | None]:
+        """Both tokenizers' ids of each text; None where the bytes differ."""
+        parts, cache = [self.segments(t) for t in texts], self.cache
+        new = list(set(chain.from_iterable(parts)).difference(cache))
+        coded = self.a.encode_batch_fast(new, add_special_tokens=False)
+        # the second puts a space before each; a segment begins with its own, or with a line end
+        pieces = self.b.encode([s[1:] if s[0] == " " else s for s in new], num_threads=1)
+        for segment, a, b in zip(new, coded, pieces, strict=True):
+            cache[segment] = self._ids(segment, a.ids, b if segment[0] == " " else b[1:])
+        out: list[tuple[bytes, bytes] | None] = []
         for own in parts:
-            got = [found[s] for s in own]
-            out.append(None if None in got else got)
+            got = [cache[s] for s in own]
+            out.append(None if None in got else tuple(b"".join(side) for side in zip(*got, strict=True)))
+        for segment in new:
+            if len(segment) > CACHED_CHARS:
+                del cache[segment]
+        if len(cache) > CACHED_SEGMENTS:  # only what these texts used stays, if it is few enough
+            kept = {s: cache[s] for s in set(chain.from_iterable(parts)) & cache.keys()}
+            self.cache = kept if len(kept) <= CACHED_SEGMENTS else {}
+        return out
+
+    def align(self, texts: list[str]) -> list[tuple[int, int, bytes, np.ndarray]]:
+        """(tokens of a, tokens of b, groups as text, pair codes) per text;
+        without tokens where the bytes differ. All texts are aligned as one
+        run of bytes, since each ends with a token of both."""
+        coded = self.encode(texts)
+        good = [c for c in coded if c is not None]
+        a, b = (np.frombuffer(b"".join(c[side] for c in good), np.int32).astype(np.int64) for side in (0, 1))
+        last_a, last_b = (np.cumsum([0, *(len(c[side]) // 4 for c in good)]) for side in (0, 1))
+        ends_a, ends_b = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        at = np.searchsorted(ends_b, ends_a)
+        hit = ends_b[at] == ends_a if len(a) else np.empty(0, bool)
+        cut_a, cut_b = np.flatnonzero(hit), at[hit]  # the tokens of a group's end
+        codes = a[cut_a] * len(self.b_bytes) + b[cut_b]
+        # a token's place when each group's tokens of a come before its tokens of b
+        later_a, later_b = np.r_[0, cut_a + 1], np.r_[0, cut_b + 1]
+        group_a = np.repeat(np.arange(len(cut_a)), np.diff(later_a))
+        group_b = np.repeat(np.arange(len(cut_b)), np.diff(later_b))
+        first_a, first_b = np.ones(len(a), bool), np.ones(len(b), bool)
+        first_a[1:], first_b[1:] = hit[:-1], np.diff(group_b) > 0
+        order = np.empty(len(a) + len(b), np.int64)
+        order[np.arange(len(a)) + later_b[group_a]] = a + np.where(first_a, 0, len(self.a_bytes))
+        order[np.arange(len(b)) + later_a[group_b + 1]] = (
+            b + 2 * len(self.a_bytes) + np.where(first_b, 0, len(self.b_bytes)))
+        written = self.written[order]
+        groups = np.searchsorted(cut_a, last_a)
+        out, k = [], 0
+        for c in coded:
+            if c is None:
+                out.append((0, 0, b"", np.empty(0, np.int64)))
+                continue
+            said = b"".join(written[last_a[k] + last_b[k]:last_a[k + 1] + last_b[k + 1]].tolist())[1:]
+            out.append((len(c[0]) // 4, len(c[1]) // 4, said, codes[groups[k]:groups[k + 1]]))
+            k += 1
         return out
 
 
@@ -169,14 +203,8 @@ def aligned_texts(docs: DataFrame, byte_path: str, piece_path: str, text: str =
             for k in range(0, whole.num_rows, TEXTS_AT_ONCE):
                 batch = whole.slice(k, TEXTS_AT_ONCE)
                 rows, pairs, times = [], [], []
-                for got in both.align(batch["text"].to_pylist()):
-                    if got is None:
-                        rows.append((0, 0, 0, 0, ""))
-                        codes = np.empty(0, np.int64)
-                    else:
-                        codes = np.fromiter(chain.from_iterable(s[3] for s in got), np.int64)
-                        rows.append((sum(s[0] for s in got), sum(s[1] for s in got), len(codes), len(codes),
-                                     hashlib.sha256(";".join([s[2] for s in got]).encode()).hexdigest()))
+                for n_a, n_b, said, codes in both.align(batch["text"].to_pylist()):
+                    rows.append((n_a, n_b, len(codes), len(codes), hashlib.sha256(said).hexdigest() if n_a else ""))
                     distinct, n = np.unique(codes, return_counts=True)
                     pairs.append(distinct)
                     times.append(n.astype(np.int32))
