@@ -50,12 +50,17 @@ def test_column_pruning_single_table(spark):
     assert "ReadSchema: struct<l_partkey:bigint,l_extendedprice:double,l_discount:double>" in p
 
 
-def test_sentiment_is_a_join_not_a_python_udf(spark):
+def test_sentiment_stays_inside_the_row(spark):
     p = plan(spark, "sentiment_labels")
-    assert "BroadcastHashJoin" in p and "Generate" in p
+    assert "Exchange" not in p and "Join" not in p and "Generate" not in p
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
 
 
+def test_bitmap_counts_need_no_expand(spark):
+    assert "Expand" not in plan(spark, "distinct_customers_by_bitmaps")
+    assert "Expand" not in plan(spark, "director_type_counts_by_bitmaps")
+
+
 def test_reviews_aggregated_before_business_join(spark):
     p = plan(spark, "category_reviews")
     assert "partial_count" in p
