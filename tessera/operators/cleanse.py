@@ -106,7 +106,7 @@ def fill_from(col: str, fallback: str) -> Column:
 
 
 def fill_by_learned_pairs(raw: DataFrame, id_col: str, key_col: str, value_col: str,
-                          wanted: DataFrame | None = None) -> DataFrame:
+                          wanted: DataFrame | None = None, each_key: bool = False) -> DataFrame:
     """Rows (id, value) for the rows of ``wanted`` (default: all of ``raw``)
     lacking ``value_col``, learned from the (key, value) items that stand
     together in a row of ``raw``.
@@ -114,12 +114,16 @@ def fill_by_learned_pairs(raw: DataFrame, id_col: str, key_col: str, value_col:
     Keys and values are lists; their items are paired within the row. The
     pairs are made distinct before the join, so a key seen on many rows
     contributes each value once. The raw key is matched unsplit against split
-    keys, so only single-key rows can be filled.
+    keys, so only single-key rows can be filled; with ``each_key`` a row's
+    keys are split too, and it gets each value learned for any of them once.
     """
     items = lambda c: F.explode(F.array_distinct(split_trimmed(c)))
     pairs = (raw.select(items(key_col).alias("_k"), value_col)
                 .select("_k", items(value_col).alias("_v")).distinct())
     source = raw if wanted is None else wanted
     missing = source.filter(F.col(value_col).isNull()).select(id_col, key_col)
+    if each_key:
+        own = missing.select(id_col, items(key_col).alias("_k"))
+        return own.join(pairs, "_k").select(id_col, F.col("_v").alias(value_col)).distinct()
     return (missing.join(pairs, missing[key_col] == pairs["_k"])
                    .select(F.col(id_col), F.col("_v").alias(value_col)))
