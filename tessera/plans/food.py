@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import as_date, before_day, days_before, months_before, on_day
 from ..functions.numeric import percent
+from ..operators.sliced_ranks import sliced_ranks
 from ..operators.topk import rank_within, top_k_per_group
 
 
@@ -104,6 +105,21 @@ def every_third_order(orders: DataFrame, as_of, every: int = 3) -> DataFrame:
                       "order_status", "promo_code_name", "rn")
 
 
+def every_third_order_all_days(orders: DataFrame, every: int = 3) -> DataFrame:
+    """Each customer's 3rd, 6th, ... order over all days. Whole histories are
+    numbered, in slices, so a customer with a third of all orders is spread
+    over many tasks."""
+    numbered = sliced_ranks(orders, ["customer_code"], ["placed_at", "order_id"], row_number="rn")
+    return numbered.where(F.col("rn") % every == 0).withColumn("rn", F.col("rn").cast("int"))
+
+
+def order_ranks_by_status(orders: DataFrame) -> DataFrame:
+    """Number, rank and dense rank of every order among those of its status,
+    latest first: a few keys hold all rows, and days tie."""
+    return sliced_ranks(orders.select("order_id", "order_status", "placed_at"), ["order_status"], ["placed_at desc"],
+                        ["order_id"], "rn", "rnk", "dense_rnk")
+
+
 def all_promo_customers_anti(orders: DataFrame) -> DataFrame:
     """More than one order and none without a promo, via an anti join.
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import adapters as A
-from . import food, quality, retail, reviews, titles
+from . import food, loads, quality, retail, reviews, titles, upkeep
 from ..operators import profile
 from ..operators.sentiment import Lexicon
 from .titles import Catalogue
@@ -28,6 +28,8 @@ QUERIES: dict[str, Query] = {
     "lapsed_promo_customers": _food(food.lapsed_promo_customers, P.AS_OF),
     "third_order_customers": _food(food.third_order_customers, P.AS_OF, P.EVERY_NTH),
     "every_third_order": _food(food.every_third_order, P.AS_OF, P.EVERY_NTH),
+    "every_third_order_all_days": _food(food.every_third_order_all_days, P.EVERY_NTH),
+    "order_ranks_by_status": _food(food.order_ranks_by_status),
     "all_promo_customers_anti": _food(food.all_promo_customers_anti),
     "all_promo_customers": _food(food.all_promo_customers),
     "organic_share_never_promo": _food(food.organic_share_never_promo, P.ACQ_YEAR, P.ACQ_MONTH),
@@ -51,6 +53,8 @@ QUERIES: dict[str, Query] = {
     "bridge_genre": lambda s, d: Catalogue(s, d).genres(),
     "bridge_country": lambda s, d: Catalogue(s, d).countries_split(),
     "country_filled": lambda s, d: Catalogue(s, d).countries(),
+    "country_filled_each_director": lambda s, d: Catalogue(s, d).countries(each_director=True),
+    "titles_ignoring_case": lambda s, d: titles.titles_ignoring_case(A.titles(s, d)),
     "dedupe_titles": lambda s, d: Catalogue(s, d).deduped(),
     "titles_land": lambda s, d: Catalogue(s, d).land(),
     "titles_land_literal": lambda s, d: Catalogue(s, d).land(literal=True),
@@ -93,4 +97,19 @@ QUERIES: dict[str, Query] = {
     "rechunk_counts": lambda s, d: quality.rechunk_counts(s, d, P.CHUNKS),
     "file_audit": quality.table_file_audit,
     "invalid_json_lines": quality.invalid_props,
+    # loads
+    "load_each_file_once": loads.load_each_file_once,
+    "repeated_batches": loads.repeated_batches,
+    "constraint_violations": loads.constraint_violations,
+    "quarantined_parts": loads.quarantined_parts,
+    # profiles, states and joins
+    "sketch_bounds": upkeep.sketch_bounds,
+    "frequent_priorities": upkeep.frequent_priorities,
+    "hot_customer_segments": upkeep.hot_customer_segments,
+    "orders_without_customer": upkeep.orders_without_customer,
+    "distinct_customers_by_bitmaps": upkeep.distinct_customers_by_bitmaps,
+    "director_type_counts_by_bitmaps": upkeep.director_type_counts_by_bitmaps,
+    "customer_state": upkeep.customer_state,
+    "inferred_records": upkeep.inferred_records,
+    "byte_chunks": upkeep.byte_chunks,
 }

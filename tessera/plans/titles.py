@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.collated import group_ignoring_case
 from ..functions.dates import parse_date
 from ..functions.strings import ci_equals, concat_null_as_empty, split_trimmed, strip_to_int
 from ..operators.cleanse import dedupe_latest, fill_by_learned_pairs, fill_from
@@ -44,10 +45,12 @@ class Catalogue:
     def countries_split(self) -> DataFrame:
         return bridge(self.raw, "show_id", "country")
 
-    def countries(self) -> DataFrame:
+    def countries(self, each_director: bool = False) -> DataFrame:
         """Country bridge plus rows learned from (director, country) pairs
-        for titles with no country (insert ... select)."""
-        learned = fill_by_learned_pairs(self.raw, "show_id", "director", "country")
+        for titles with no country (insert ... select). As the script is
+        written, only titles with one director can learn;
+        ``each_director=True`` learns from any of a title's directors."""
+        learned = fill_by_learned_pairs(self.raw, "show_id", "director", "country", each_key=each_director)
         return self.countries_split().unionByName(learned)
 
     # --- landing table
@@ -164,3 +167,17 @@ def scalar_functions(raw: DataFrame) -> DataFrame:
         F.length("title").alias("title_len"),
         (F.col("release_year").cast("decimal(7,2)") / F.lit(4)).cast("decimal(9,2)").alias("quarter"),
     )
+
+
+def spellings(raw: DataFrame) -> DataFrame:
+    """Titles in the spellings that different sources might give them."""
+    k = F.col("release_year") % 3
+    return raw.select("show_id", "type", F.when(k == 0, F.upper("title")).when(k == 1, F.initcap("title"))
+                      .otherwise(F.col("title")).alias("title"))
+
+
+def titles_ignoring_case(raw: DataFrame) -> DataFrame:
+    """Titles grouped without case: the first spelling by ``show_id``, the
+    number of rows, and of types."""
+    return group_ignoring_case(spellings(raw), ["title"], ["show_id"], F.count(F.lit(1)).alias("n_rows"),
+                               F.count_distinct("type").alias("n_types"))

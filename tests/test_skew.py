@@ -60,3 +60,8 @@ def test_per_customer_aggregates_combine_before_shuffle(hot, fn):
     first_exchange = plan.rfind("Exchange hashpartitioning(customer_code")
     first_partial = plan.rfind("HashAggregate(keys=[customer_code")
     assert first_partial > first_exchange >= 0
+
+
+def test_every_third_order_over_all_days(hot, pdf):
+    got = {(r.order_id, r.rn) for r in food.every_third_order_all_days(hot, 3).collect()}
+    assert got == set(pdf[pdf.rn % 3 == 0][["order_id", "rn"]].itertuples(index=False, name=None))
