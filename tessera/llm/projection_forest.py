@@ -9,9 +9,11 @@ norms equal, so that nearness by inner product is nearness by angle.
 
 Search. A query descends all trees through one queue, ordered by the worst
 margin on the way to a node; leaves are taken in that order until they hold
-``budget`` rows. Candidates meet their queries in tiles (leaf, block of rows,
-part of queries); each tile keeps the best ``k`` per query by exact products
-in double precision, and the tiles' results are merged per query.
+``budget`` rows. Candidates meet their queries in tiles (branch of a tree,
+block of rows, part of queries), where every query meets the rows of the leaves
+it took; each tile keeps the best ``k`` per query by exact products in double
+precision, as one row, and the tiles' results are merged per query in two
+steps.
 
 The budget is measured, not set: for ``PROBES`` sampled rows the exact nearest
 rows are found by a pass over the whole table, and the budget is what the
@@ -19,8 +21,8 @@ queue has to gather until ``RECALL`` of these neighbours are in a taken leaf.
 On vectors without structure it approaches all rows; on clustered ones it is
 a small part of them.
 
-Skew: a leaf of many rows (copies of one vector share a leaf in every tree) or
-many queries is cut into tiles of bounded size by hashes of the ids. The
+Skew: a branch of many rows (copies of one vector share a leaf in every tree)
+or many queries is cut into tiles of bounded size by hashes of the ids. The
 driver holds the sample, the trees, a row per leaf (at most ``TREES * 2 **
 MAX_DEPTH``) and the probes' neighbours, all of fixed size.
 
@@ -50,9 +52,10 @@ from tessera.sources.tables import read_table
 
 TREES, LEAF_ROWS, MAX_DEPTH = 4, 512, 10
 SAMPLE, PROBES, RECALL = 16_384, 64, 0.95
-TILE_ROWS, TILE_QUERIES, AT_ONCE = 2048, 4096, 512
+TILE_ROWS, TILE_QUERIES, AT_ONCE = 8192, 4096, 512
 SEED = 20_260
 RESULT = "query_id long, rank int, vec_id long, score double"
+BEST = "query_id long, ids array<long>, scores array<double>, step int"
 
 
 def taking_part(df: DataFrame, id_col: str, vector: str) -> DataFrame:
@@ -83,6 +86,8 @@ class Forest:
         self.norm, self.dims, self.trees = norm, sample.shape[1], trees
         self.depth = int(np.clip(np.ceil(np.log2(max(1, n_rows / leaf_rows))), 0, MAX_DEPTH))
         self.leaves = 2 ** self.depth
+        # neighbouring leaves of about TILE_ROWS rows together are a branch
+        self.shift = min(self.depth, max(0, int(np.log2(max(1, TILE_ROWS // leaf_rows)))))
         rng = np.random.default_rng(SEED)
         self.directions = rng.standard_normal((trees, self.leaves - 1, self.dims + 1))
         self.directions /= np.linalg.norm(self.directions, axis=2, keepdims=True)
@@ -127,13 +132,14 @@ class Forest:
             heapq.heappush(queue, (max(worst, margin), t, 2 * node + 1))
             heapq.heappush(queue, (max(worst, -margin), t, 2 * node + 2))
 
-    def taken(self, query: np.ndarray, sizes: np.ndarray, budget: int) -> list[int]:
-        out, rows = [], 0
+    def taken(self, query: np.ndarray, sizes: np.ndarray, budget: int) -> dict[int, list[int]]:
+        """Branch -> leaves, of the first leaves that hold ``budget`` rows."""
+        out, rows = {}, 0
         for leaf in self.in_order(query):
             if rows >= budget:
                 break
             if sizes[leaf]:
-                out.append(leaf)
+                out.setdefault(leaf >> self.shift, []).append(leaf)
                 rows += int(sizes[leaf])
         return out
 
@@ -166,15 +172,37 @@ def exact_best(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids
         qi, gi, score = qi[order], group[ri[order]], score[order]
         first = np.r_[True, (qi[1:] != qi[:-1]) | (gi[1:] != gi[:-1])] if len(qi) else np.empty(0, bool)
         qi, gi, score = qi[first], gi[first], score[first]
-        order = np.lexsort((names[gi], -score, qi))
-        qi, gi, score = qi[order], gi[order], score[order]
-        begin = np.flatnonzero(np.r_[True, qi[1:] != qi[:-1]]) if len(qi) else np.empty(0, np.int64)
-        place = np.arange(len(qi)) - np.repeat(begin, np.diff(np.r_[begin, len(qi)]))
-        keep = place < k
-        out.append((qi[keep] + k0, names[gi[keep]], score[keep]))
+        out.append(_first(qi + k0, names[gi], score, k))
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
+def _first(at: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int):
+    """The ``k`` largest scores of each ``at``, ties to smaller ids, in order."""
+    order = np.lexsort((ids, -score, at))
+    at, ids, score = at[order], ids[order], score[order]
+    begin = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else np.empty(0, np.int64)
+    keep = np.arange(len(at)) - np.repeat(begin, np.diff(np.r_[begin, len(at)])) < k
+    return at[keep], ids[keep], score[keep]
+
+
+def merged_best(at: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int):
+    """As ``_first``, where an id may come several times with equal scores."""
+    order = np.lexsort((-score, ids, at))
+    at, ids, score = at[order], ids[order], score[order]
+    new = np.r_[True, (at[1:] != at[:-1]) | (ids[1:] != ids[:-1])] if len(at) else np.empty(0, bool)
+    return _first(at[new], ids[new], score[new], k)
+
+
+def _best_rows(query_ids: np.ndarray, at: np.ndarray, ids: np.ndarray, score: np.ndarray, step: np.ndarray) -> pa.Table:
+    """A row per query that has any: ``at`` are places in ``query_ids``."""
+    begin = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else np.empty(0, np.int64)
+    ends = pa.array(np.r_[begin, len(at)].astype(np.int32))
+    return pa.table({"query_id": pa.array(query_ids[at[begin]], pa.int64()),
+                     "ids": pa.ListArray.from_arrays(ends, pa.array(ids, pa.int64())),
+                     "scores": pa.ListArray.from_arrays(ends, pa.array(score, pa.float64())),
+                     "step": pa.array(step[at[begin]], pa.int32())})
+
+
 def _neighbours(key: pa.Array, ids: np.ndarray, score: np.ndarray, **more) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({"query_id": key, "vec_id": pa.array(ids, pa.int64()),
                                        "score": pa.array(score, pa.float64()), **more})
@@ -247,40 +275,73 @@ def nearest(vectors: DataFrame, is_query, k: int, id_col: str = "vec_id", vector
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = forest.value
         for batch in batches:
-            leaves = [own.taken(q, sizes, budget) for q in matrix(batch["vector"], dims)]
-            yield pa.RecordBatch.from_arrays([batch["vec_id"], batch["vector"], pa.array(leaves, pa.list_(pa.int32()))],
-                                             ["query_id", "vector", "leaves"])
+            taken = [[{"branch": b, "leaves": leaves} for b, leaves in own.taken(q, sizes, budget).items()]
+                     for q in matrix(batch["vector"], dims)]
+            kind = pa.list_(pa.struct({"branch": pa.int32(), "leaves": pa.list_(pa.int32())}))
+            yield pa.RecordBatch.from_arrays([batch["vec_id"], batch["vector"], pa.array(taken, kind)],
+                                             ["query_id", "vector", "taken"])
 
     kind = rows.schema["vector"].dataType.simpleString()
     queries = rows.where(is_query).groupBy("vec_id").agg(F.min("vector").alias("vector"))
-    visits = stored(queries.mapInArrow(search, f"query_id long, vector {kind}, leaves array<int>"), "forest-visits")
-    asked = {r.leaf: r["count"] for r in visits.select(F.explode("leaves").alias("leaf")).groupBy("leaf").count().collect()}
-    # a row per leaf: at most TREES * 2 ** MAX_DEPTH, whatever the tables
+    visits = stored(queries.mapInArrow(
+        search, f"query_id long, vector {kind}, taken array<struct<branch: int, leaves: array<int>>>"), "forest-visits")
+    asked = {r.branch: r["count"] for r in visits.select(F.explode("taken.branch").alias("branch")).groupBy("branch").count().collect()}
+    shift = forest.value.shift
+    held = np.add.reduceat(sizes, np.arange(0, len(sizes), 1 << shift))
+    blocks = {b: -(-int(held[b]) // TILE_ROWS) for b in asked}
+    # a row per branch: at most TREES * 2 ** MAX_DEPTH, whatever the tables
     tiles = F.broadcast(spark.createDataFrame(
-        [(leaf, -(-int(sizes[leaf]) // TILE_ROWS), -(-count // TILE_QUERIES)) for leaf, count in asked.items()],
-        "leaf int, blocks int, parts int"))
-    key = ("leaf", "block", "part")
-    candidates = (table.select("vec_id", "vector", F.explode("leaves").alias("leaf")).join(tiles, "leaf")
-                  .select("leaf", F.pmod(F.xxhash64("vec_id"), "blocks").cast("int").alias("block"),
-                          F.explode(F.expr("sequence(0, parts - 1)")).alias("part"), "vec_id", "vector"))
-    wanted = (visits.select("query_id", "vector", F.explode("leaves").alias("leaf")).join(tiles, "leaf")
-              .select("leaf", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"),
-                      F.pmod(F.xxhash64("query_id"), "parts").cast("int").alias("part"), "query_id", "vector"))
+        [(b, blocks[b], -(-count // TILE_QUERIES)) for b, count in asked.items()], "branch int, blocks int, parts int"))
+    # a query's results from this many tiles are merged in two steps of about the root of it
+    steps = int(np.sqrt(sum(blocks.values()))) + 1
+    key = ("branch", "block", "part")
+    candidates = (table.select("vec_id", "vector", F.explode("leaves").alias("leaf"))
+                  .withColumn("branch", F.shiftright("leaf", shift)).join(tiles, "branch")
+                  .select("branch", F.pmod(F.xxhash64("vec_id"), "blocks").cast("int").alias("block"),
+                          F.explode(F.expr("sequence(0, parts - 1)")).alias("part"), "leaf", "vec_id", "vector"))
+    wanted = (visits.select("query_id", "vector", F.explode("taken").alias("t"))
+              .select("query_id", "vector", "t.branch", "t.leaves").join(tiles, "branch")
+              .select("branch", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"),
+                      F.pmod(F.xxhash64("query_id"), "parts").cast("int").alias("part"), "query_id", "vector", "leaves"))
 
     def rerank(left, right):
         left, right = left.combine_chunks(), right.combine_chunks()
+        none = np.empty(0, np.int64)
         if not left.num_rows or not right.num_rows:
-            return pa.Table.from_batches([_neighbours(pa.array([], pa.int64()), np.empty(0, np.int64), np.empty(0))])
-        own = right["query_id"].to_numpy()
-        at, found, score = exact_best(matrix(right["vector"].chunk(0), dims), own,
-                                      matrix(left["vector"].chunk(0), dims), left["vec_id"].to_numpy(), k)
-        return pa.Table.from_batches([_neighbours(pa.array(own[at]), found, score)])
-
-    found = candidates.groupBy(*key).cogroup(wanted.groupBy(*key)).applyInArrow(
-        rerank, "query_id long, vec_id long, score double")
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return (found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", place)
-            .where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"))
+            return _best_rows(none, none, none, none.astype(float), none)
+        ids, leaf, vectors = left["vec_id"].to_numpy(), left["leaf"].to_numpy(), matrix(left["vector"].chunk(0), dims)
+        own, asking = right["query_id"].to_numpy(), matrix(right["vector"].chunk(0), dims)
+        lists = right["leaves"].chunk(0)
+        wanted_leaf, asker = lists.flatten().to_numpy(), np.repeat(np.arange(len(own)), np.diff(lists.offsets.to_numpy()))
+        found = []
+        for one in np.intersect1d(leaf, wanted_leaf):
+            here, who = leaf == one, asker[wanted_leaf == one]
+            at, near, score = exact_best(asking[who], own[who], vectors[here], ids[here], k)
+            found.append((who[at], near, score))
+        if not found:
+            return _best_rows(none, none, none, none.astype(float), none)
+        at, near, score = merged_best(*(np.concatenate(c) for c in zip(*found, strict=True)), k)
+        tile = right["branch"][0].as_py() * 31 + right["block"][0].as_py()
+        return _best_rows(own, at, near, score, np.full(len(own), tile % steps))
+
+    def merge(part):
+        part = part.combine_chunks()
+        own, where = np.unique(part["query_id"].to_numpy(), return_inverse=True)
+        lists = part["ids"].chunk(0)
+        at = np.repeat(where, np.diff(lists.offsets.to_numpy()))
+        best = merged_best(at, lists.flatten().to_numpy(), part["scores"].chunk(0).flatten().to_numpy(), k)
+        return _best_rows(own, *best, np.zeros(len(own)))
+
+    def final(part):
+        best = merge(part)
+        lists = best["ids"].chunk(0)
+        n = np.diff(lists.offsets.to_numpy())
+        return pa.table({"query_id": pa.array(np.repeat(best["query_id"].to_numpy(), n), pa.int64()),
+                         "rank": pa.array(np.concatenate([np.arange(1, x + 1) for x in n]), pa.int32()),
+                         "vec_id": lists.flatten(), "score": best["scores"].chunk(0).flatten()})
+
+    found = candidates.groupBy(*key).cogroup(wanted.groupBy(*key)).applyInArrow(rerank, BEST)
+    return found.groupBy("query_id", "step").applyInArrow(merge, BEST).groupBy("query_id").applyInArrow(final, RESULT)
 
 
 def op11_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:

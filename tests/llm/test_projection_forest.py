@@ -53,7 +53,7 @@ def recall(got, want):
     return sum(i in {j for j, _ in got.get(q, [])} for q, i in pairs) / len(pairs)
 
 
-@pytest.mark.parametrize("tile", [2048, 16])
+@pytest.mark.parametrize("tile", [8192, 16])
 def test_clusters_and_copies(spark, monkeypatch, tile):
     monkeypatch.setattr(forest, "TILE_ROWS", tile)  # 16: hot leaves are cut into many tiles
     monkeypatch.setattr(forest, "TILE_QUERIES", tile)
