@@ -56,7 +56,7 @@ from tessera.sources.tables import read_table
 BLOCK = 64
 BLOCK_SHINGLES = 2 << 20
 WIDE_BLOCK = 1024
-MAP_BLOCK, MAP_BITS = 4096, 1 << 14
+MAP_BLOCK, MAP_BITS = 1024, 1 << 14
 FLUSH_POSTINGS = 1 << 20
 COUNTER_BITS, CHUNK_BITS = 22, 14
 POSTING, CANDIDATE, COPY, SIZE = range(4)
@@ -380,7 +380,9 @@ def _tightened(apart: DataFrame, docs: DataFrame, n: int, p: int, q: int) -> Dat
 
     maps = stored(apart.select("cluster", "id", "label", "main").hint("merge").join(docs, "id").mapInArrow(
         mapped, "cluster long, id long, label long, main long, size long, map binary"), "jaccard-maps")
-    found = _tiles(maps, MAP_BLOCK).groupBy("cluster", "block", "group").applyInArrow(
+    # dealt by the tile as one value: rows already dealt by cluster would satisfy a grouping
+    # by three columns, and all tiles of a cluster would run in one task
+    found = _tiles(maps, MAP_BLOCK).withColumn("tile", F.struct("cluster", "block", "group")).groupBy("tile").applyInArrow(
         group, "cluster long, block int, group int, id long, size long, label long, part long")
     return (found.groupBy(F.xxhash64("cluster", "block", "group", "part").alias("cluster"), "id", "label")
             .agg(F.max("size").alias("size")))
