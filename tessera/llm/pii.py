@@ -52,6 +52,21 @@ _IN_WORD = r"\p{L}\p{N}"
 WORD = rf"[{_IN_WORD}]+"
 
 
+#: Matches and spans that are walked as one list; longer lists are walked in
+#: such chunks, since a list that grows is copied at every step.
+CHUNK = 256
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _chunks(values: Column) -> Column:
+    last = F.floor((F.size(values) - 1) / CHUNK).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda c: F.slice(values, c * CHUNK + 1, F.lit(CHUNK)))
+
+
 def placed(text: Column, pattern: Column | str) -> Column:
     """array<struct<start, end, value>> of the matches, in code points."""
     pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
@@ -60,14 +75,27 @@ def placed(text: Column, pattern: Column | str) -> Column:
     # the gap before a match follows the end of the match before it
     pieces = F.zip_with(F.slice(gaps, F.lit(1), F.size(found)), found,
                         lambda gap, value: F.struct(F.length(gap).alias("gap"), value.alias("value")))
-    start = F.array().cast("array<struct<start:int,end:int,value:string>>")
+    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
 
     def add(done: Column, piece: Column) -> Column:
-        at = F.coalesce(F.get(done, F.size(done) - 1)["end"], F.lit(0)) + piece["gap"]
-        return F.concat(done, F.array(F.struct(
-            at.alias("start"), (at + F.length(piece["value"])).alias("end"), piece["value"].alias("value"))))
+        at = done["at"] + piece["gap"]
+        end = at + F.length(piece["value"])
+        return F.struct(end.alias("at"), F.concat(done["found"], F.array(F.struct(
+            at.alias("start"), end.alias("end"), piece["value"].alias("value")))).alias("found"))
 
-    return F.when(F.size(found) > 0, F.aggregate(pieces, start, add)).otherwise(start)
+    def walked(some: Column) -> Column:
+        return F.aggregate(some, F.struct(F.lit(0).alias("at"), none.alias("found")), add)
+
+    def later(done: Column, chunk: Column) -> Column:
+        return F.struct((done["at"] + chunk["at"]).alias("at"), F.concat(done["starts"], F.array(done["at"])).alias("starts"))
+
+    def joined(chunks: Column) -> Column:
+        starts = F.aggregate(chunks, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts")), later)["starts"]
+        return F.flatten(F.zip_with(chunks, starts, lambda chunk, start: F.transform(chunk["found"], lambda m: F.struct(
+            (m["start"] + start).alias("start"), (m["end"] + start).alias("end"), m["value"].alias("value")))))
+
+    many = _let(pieces, lambda p: _let(F.transform(_chunks(p), walked), joined))
+    return F.when(F.size(found) > CHUNK, many).when(F.size(found) > 0, walked(pieces)["found"]).otherwise(none)
 
 
 def _digits(value: Column) -> Column:
@@ -125,17 +153,42 @@ def _entity(kind: Column, value: Column) -> Column:
     return F.concat(kind, F.lit(":"), F.when(kind == "email", F.lower(value)).otherwise(_digits(value)))
 
 
-def _masked(text: Column, spans: Column) -> Column:
-    """The text with its base spans blanked out."""
-    start = F.struct(F.lit("").alias("text"), F.lit(0).alias("at"))
+def _replaced(text: Column, spans: Column) -> Column:
+    """The text with spans (struct<start, end, by>, by start) replaced; of
+    spans that overlap the first one's ``by`` stands for all."""
+    def step(done: Column, chunk: Column) -> Column:
+        stop = F.greatest(done["at"], F.array_max(F.transform(chunk, lambda x: x["end"])))
+
+        def one(sub: Column) -> Column:
+            def put(d: Column, x: Column) -> Column:
+                between = F.substr(sub, d["at"] - done["at"] + 1, F.greatest(x["start"] - d["at"], F.lit(0)))
+                return F.struct(F.when(x["start"] < d["at"], d["text"]).otherwise(F.concat(d["text"], between, x["by"])).alias("text"),
+                                F.greatest(d["at"], x["end"]).alias("at"))
 
-    def step(done: Column, s: Column) -> Column:
-        between = F.substr(text, done["at"] + 1, F.greatest(s["start"] - done["at"], F.lit(0)))
-        return F.struct(F.concat(done["text"], between, F.lit(" ")).alias("text"),
-                        F.greatest(done["at"], s["end"]).alias("at"))
+            return F.aggregate(chunk, F.struct(F.lit("").alias("text"), done["at"].alias("at")), put)["text"]
 
-    done = F.aggregate(spans, start, step)
-    return F.concat(done["text"], F.substr(text, done["at"] + 1, F.greatest(F.length(text) - done["at"], F.lit(0))))
+        return F.struct(F.concat(done["parts"], F.array(_let(F.substr(text, done["at"] + 1, stop - done["at"]), one))).alias("parts"),
+                        stop.alias("at"))
+
+    start = F.struct(F.array().cast("array<string>").alias("parts"), F.lit(0).alias("at"))
+    done = _let(spans, lambda s: F.aggregate(_chunks(s), start, step))
+    whole = _let(done, lambda d: F.concat(F.array_join(d["parts"], ""), F.substr(
+        text, d["at"] + 1, F.greatest(F.length(text) - d["at"], F.lit(0)))))
+    return F.when(F.size(spans) > 0, whole).otherwise(text)
+
+
+def _by(spans: Column, by) -> Column:
+    return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), by(s).alias("by")))
+
+
+def _kind(span: Column) -> Column:
+    """What stands for a base span in a sanitised text."""
+    return F.concat(F.lit("["), F.upper(span["kind"]), F.lit("]"))
+
+
+def _masked(text: Column, spans: Column) -> Column:
+    """The text with its base spans blanked out."""
+    return _replaced(text, _by(spans, lambda s: F.lit(" ")))
 
 
 def _terms(text: Column) -> Column:
@@ -145,16 +198,18 @@ def _terms(text: Column) -> Column:
 
 
 def find_base(docs: DataFrame) -> DataFrame:
-    """(rid, tid, doc_id, spans, entities, words): base spans of every row, and
-    for rows that have some the distinct entities and the distinct words outside
-    the spans. ``rid`` tells rows apart, ``tid`` texts."""
+    """(rid, tid, doc_id, spans, entities, words, clean_sha256): base spans of
+    every row, and for rows that have some the distinct entities and the
+    distinct words outside the spans; the digest of the text without its base
+    spans. ``rid`` tells rows apart, ``tid`` texts."""
     text = text_or_empty("text")
     rows = docs.select(F.xxhash64("doc_id", "text").alias("rid"), F.xxhash64(text).alias("tid"), "doc_id",
                        text.alias("text"), base_spans(text).alias("spans"))
     entities = F.array_distinct(F.transform("spans", lambda s: _entity(s["kind"], s["value"])))
     words = F.when(F.size("spans") > 0, _terms(_masked(F.col("text"), F.col("spans"))))
     return rows.select("rid", "tid", "doc_id", F.transform("spans", lambda s: s.dropFields("value")).alias("spans"),
-                       entities.alias("entities"), words.alias("words"))
+                       entities.alias("entities"), words.alias("words"),
+                       F.sha2(_replaced(F.col("text"), _by(F.col("spans"), _kind)), 256).alias("clean_sha256"))
 
 
 def _texts_by(rows: DataFrame, *keys: str, name: str) -> DataFrame:
@@ -224,46 +279,39 @@ def _term_spans(text: Column, terms: Column) -> Column:
 
 
 def find_personal_data(docs: DataFrame, generalise: float = GENERALISE, min_support: int = MIN_SUPPORT) -> DataFrame:
-    """(rid, doc_id, spans, terms): base spans and spans of revealing terms
-    (outside the base spans) of every row of ``docs`` (doc_id, text)."""
+    """(rid, doc_id, spans, terms, sanitised_sha256): base spans and spans of
+    revealing terms (outside the base spans) of every row of ``docs`` (doc_id,
+    text), and the digest of the text that ``sanitise`` gives."""
     found = stored(find_base(docs), "pii-base")
     reveal = stored(revealing_terms(found, docs, generalise, min_support), "pii-terms")
     none = F.array().cast("array<struct<start:int,place:int,kind:string,end:int,remove:boolean>>")
     if reveal.isEmpty():
-        return found.select("rid", "doc_id", "spans", none.alias("terms"))
+        return found.select("rid", "doc_id", "spans", none.alias("terms"), F.col("clean_sha256").alias("sanitised_sha256"))
     at_risk = (found.select("rid", F.explode("entities").alias("entity"))
                .join(reveal, "entity").groupBy("rid", "term").agg(F.max("disclosure").alias("disclosure"))
                .groupBy("rid").agg(F.collect_list(F.struct("term", "disclosure")).alias("known")))
     texts = docs.where(F.rlike("text", F.lit("[@+]|[0-9]"))).select(
         F.xxhash64("doc_id", "text").alias("rid"), "text").join(at_risk, "rid").dropDuplicates(["rid"])
-    terms = texts.select("rid", F.array_sort(_term_spans(F.col("text"), F.col("known"))).alias("terms"))
+    terms = texts.select("rid", "text", F.array_sort(_term_spans(F.col("text"), F.col("known"))).alias("terms"))
     outside = F.filter(F.coalesce("terms", none), lambda t: ~F.exists(
         "spans", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
-    return found.join(terms, "rid", "left").select("rid", "doc_id", "spans", outside.alias("terms"))
+    both = found.join(terms, "rid", "left").select("rid", "doc_id", "text", "spans", outside.alias("terms"), "clean_sha256")
+    return both.select("rid", "doc_id", "spans", "terms", F.when(
+        F.size("terms") > 0, F.sha2(_sanitised(F.col("text"), F.col("spans"), F.col("terms")), 256))
+        .otherwise(F.col("clean_sha256")).alias("sanitised_sha256"))
+
+
+def _sanitised(text: Column, spans: Column, terms: Column) -> Column:
+    return _replaced(text, F.array_sort(F.concat(
+        _by(spans, _kind), _by(terms, lambda t: F.when(t["remove"], F.lit("")).otherwise(F.lit("[TERM]"))))))
 
 
 def sanitise(docs: DataFrame, found: DataFrame) -> DataFrame:
     """(doc_id, sanitised): texts with base spans replaced by their kind, and
     terms generalised to their kind or removed. Overlapping spans are replaced
     as one, under the first one's kind."""
-    every = F.array_sort(F.concat(
-        F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"),
-                                                F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("by"))),
-        F.transform("terms", lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"),
-                                                F.when(t["remove"], "").otherwise("[TERM]").alias("by")))))
-    start = F.struct(F.lit("").alias("text"), F.lit(0).alias("at"))
-
-    def step(done: Column, s: Column) -> Column:
-        inside = s["start"] < done["at"]
-        return F.struct(
-            F.when(inside, done["text"]).otherwise(F.concat(
-                done["text"], F.substr("text", done["at"] + 1, s["start"] - done["at"]), s["by"])).alias("text"),
-            F.greatest(done["at"], s["end"]).alias("at"))
-
     rows = docs.select(F.xxhash64("doc_id", "text").alias("rid"), text_or_empty("text").alias("text")).dropDuplicates(["rid"])
-    done = found.join(rows, "rid").withColumn("done", F.aggregate(every, start, step))
-    return done.select("doc_id", F.concat("done.text", F.substr(
-        "text", F.col("done.at") + 1, F.greatest(F.length("text") - F.col("done.at"), F.lit(0)))).alias("sanitised"))
+    return found.join(rows, "rid").select("doc_id", _sanitised(F.col("text"), F.col("spans"), F.col("terms")).alias("sanitised"))
 
 
 def op7_personal_data(spark, sf_dir) -> DataFrame:
@@ -273,4 +321,4 @@ def op7_personal_data(spark, sf_dir) -> DataFrame:
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     every = F.array_sort(F.concat("spans", F.transform("terms", lambda t: t.dropFields("remove"))))
     return found.select("doc_id", *[count(k) for k in KINDS], F.sha2(_joined(F.col("spans")), 256).alias("base_sha256"),
-                        _joined(every).alias("spans"), F.size("terms").cast("long").alias("n_term"))
+                        _joined(every).alias("spans"), F.size("terms").cast("long").alias("n_term"), "sanitised_sha256")
