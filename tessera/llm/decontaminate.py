@@ -16,10 +16,12 @@ windows without a changed slot cover as much alone.
 
 Only DataFrame functions are used. Benchmark windows are broadcast when their
 counted rows are within ``BROADCAST_WINDOWS``, and shuffled otherwise; only
-alignments, never windows of documents, are shuffled in the first case.
+alignments, never windows or texts of documents, are shuffled in the first
+case.
 
 Edge cases: null and empty texts hold nothing; an item shorter than a window
-is one window of its own length; a window with under ``MIN_WORDS`` (or half of
+is one window of its own length, and one of under ``MIN_ITEM`` tokens is held
+only by a document that is nothing else; a window with under ``MIN_WORDS`` (or half of
 its) tokens that are no placeholders is compared with its values, so rows of
 numbers are found verbatim only; rows that repeat an id are searched each, and
 equal rows give one result; a document without an id is searched as well (its
@@ -31,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import broadcast_if_small, fresh, text_or_empty
+from tessera.llm.common import broadcast_if_small, fresh, stored, text_or_empty
 from tessera.sources.tables import read_table
 
 WINDOW = 8
@@ -40,6 +42,8 @@ MIN_COVERAGE = 0.5
 MIN_TOKENS = 13
 MIN_CONSISTENT = 0.75
 ROLE_TOKENS = 2
+#: An item of fewer tokens says too little to be found inside a longer text.
+MIN_ITEM = 3
 BROADCAST_WINDOWS = 1_000_000
 
 # Unit words that follow a number.
@@ -97,7 +101,7 @@ def item_windows(items: DataFrame, window: int) -> DataFrame:
 
 
 def _document_windows(docs: DataFrame, lengths: dict[int, bool]) -> DataFrame:
-    """(rid, doc_id, pos, hash, length): windows of every length that occurs
+    """(rid, doc_id, doc_tokens, pos, hash, length): windows of every length that occurs
     in the benchmark (one, unless items are shorter than a window); by values
     as well where the benchmark has windows of that length poor in words."""
     n = F.size("template")
@@ -110,7 +114,7 @@ def _document_windows(docs: DataFrame, lengths: dict[int, bool]) -> DataFrame:
             return F.when(_poor(part, F.lit(k)), _values_hash(F.slice("tokens", i, F.lit(k)))).otherwise(F.xxhash64(part))  # noqa: B023
 
         windows = F.when(n >= k, F.transform(F.sequence(F.lit(1), n - k + 1), hashed))
-        part = docs.select("rid", "doc_id", F.posexplode(windows).alias("pos", "hash"), F.lit(k).alias("length"))
+        part = docs.select("rid", "doc_id", n.alias("doc_tokens"), F.posexplode(windows).alias("pos", "hash"), F.lit(k).alias("length"))
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -143,12 +147,14 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     # at most ``window`` rows
     lengths = dict(sorted(tuple(r) for r in windows.groupBy("length").agg(F.max("poor")).collect())) or {window: False}
     hits = _document_windows(tokens.select("rid", "doc_id", "tokens", _template(F.col("tokens")).alias("template")), lengths) \
-        .join(broadcast_if_small(windows.drop("poor"), BROADCAST_WINDOWS), ["hash", "length"])
+        .join(broadcast_if_small(windows.drop("poor"), BROADCAST_WINDOWS), ["hash", "length"]) \
+        .where((F.col("item_tokens") >= MIN_ITEM) | (F.col("item_tokens") == F.col("doc_tokens")))
     # an alignment: the matched item positions on one diagonal, bounded by the item
     aligned = hits.groupBy("rid", "doc_id", "item_id", (F.col("pos") + 1 - F.col("item_pos")).alias("shift")).agg(
         F.first("item_tokens").alias("item_tokens"), F.first("length").alias("length"),
         F.sort_array(F.collect_set("item_pos")).alias("at"))
-    aligned = aligned.withColumn("covered_tokens", _covered(F.col("at"))).where(_enough(F.col("covered_tokens")))
+    # written once: the corpus is searched once, and alignments are few
+    aligned = stored(aligned.withColumn("covered_tokens", _covered(F.col("at"))).where(_enough(F.col("covered_tokens"))), "alignments")
     slots = F.filter(F.transform("tokens", lambda t, i: F.struct(i.alias("i"), t.alias("value"), _role(i).alias("role"))),
                      lambda s: _is_slot(s["value"]))
     aligned = aligned.join(items.select("item_id", slots.alias("slots")), "item_id")
@@ -169,7 +175,11 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, window: int = WIND
 
     changed = F.filter("pairs", lambda x: x["item"] != x["doc"])
     verbatim = F.filter("at", lambda a: ~F.exists("changed", lambda x: within(x["i"], a)))
-    slotted = (aligned.where("size(slots) > 0").join(tokens.select("rid", "tokens").dropDuplicates(["rid"]), "rid")
+    # only the documents of alignments with slots are looked at again
+    wanted = aligned.where("size(slots) > 0").select("rid").distinct()
+    again = (rows.join(broadcast_if_small(wanted, BROADCAST_WINDOWS), "rid", "left_semi").dropDuplicates(["rid"])
+             .select("rid", canonical_tokens(F.col("text")).alias("tokens")))
+    slotted = (aligned.where("size(slots) > 0").join(again, "rid")
                .withColumn("pairs", paired).withColumn("n_slots", F.size("pairs"))
                .withColumn("changed", changed).withColumn("verbatim", verbatim)
                .withColumn("consistent", one_to_one("item") | one_to_one("item", "role")
