@@ -12,16 +12,18 @@ Features of a text, hashed into ``2 ** BITS`` weights:
 Both groups are weighted by the logarithm of their frequency; a score is the
 sparse dot product of features and weights through the logistic function.
 
-Training uses at most ``SAMPLE`` labelled rows (a documented bound; rows are
-chosen by a hash of their id). They are dealt to ``SHARDS`` tasks, each
+Training uses at most ``SAMPLE`` labelled documents (a documented bound; they
+are chosen by a hash of their id), which are written once, so the corpus is
+read once for them. They are dealt to ``SHARDS`` tasks, each
 runs FTRL over its rows, and the shards' weights are averaged; ``ROUNDS``
 rounds start from the average. Only the weight vector, whose size is fixed,
 reaches the driver and is broadcast. Every document is scored, whole.
 
 Edge cases: a null or empty text is scored by the bias alone; labels that are
 null, and labelled ids without a document, are left out; without any label to
-learn from every score is 1; a row whose id is null is scored and not held
-out; repeated rows are scored alike; an empty table gives no rows; other
+learn from every score is 0.5 and the stage keeps all documents; rows that
+share a labelled id are one example; a row whose id is null is scored and not
+held out; repeated rows are scored alike; an empty table gives no rows; other
 columns are ignored (the stage passes them through).
 """
 
@@ -37,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import fresh, ship_package, text_or_empty
+from tessera.llm.common import fresh, ship_package, stored, text_or_empty
 from tessera.sources.tables import read_table
 
 BITS = 18
@@ -129,16 +131,18 @@ def ftrl(rows: list[tuple[np.ndarray, np.ndarray, float]], weights: np.ndarray,
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """(text, label, place) of at most about ``sample`` labelled documents;
-    rows held out are never among them."""
-    known = (labels.where(F.col("quality").isNotNull() & (F.crc32(F.col("doc_id").cast("string")) % 4 != HELD_OUT))
+    """(text, label, place) of at most ``sample`` labelled documents, those
+    with the smallest hashes of their ids; rows held out are never among them.
+    Rows that share an id are one document, with the smallest of their labels
+    and of their texts."""
+    known = (labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()
+                          & (F.crc32(F.col("doc_id").cast("string")) % 4 != HELD_OUT))
              .groupBy("doc_id").agg(F.min("quality").cast("double").alias("label")))
-    total = known.count()
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    chosen = known.withColumn("place", place).where(F.col("place") < int((1 << 30) * min(1.0, sample / max(1, total))))
-    # at most about ``sample`` rows: a proven bound for the broadcast
-    return docs.select("doc_id", text_or_empty("text").alias("text")).join(
-        F.broadcast(chosen), "doc_id").select("text", "label", "place")
+    there = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+    chosen = there.withColumn("place", F.xxhash64("doc_id")).orderBy("place", "doc_id").limit(sample)
+    # at most ``sample`` rows: a proven bound for the broadcast
+    return (docs.select("doc_id", text_or_empty("text").alias("text")).join(F.broadcast(chosen), "doc_id")
+            .groupBy("doc_id", "label", "place").agg(F.min("text").alias("text")).select("text", "label", "place"))
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarray | None:
@@ -147,7 +151,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarra
     ship_package(spark)
     size = 1 << BITS
     weights, squares = np.zeros(size), np.zeros(size)
-    rows = labelled_sample(docs, labels, sample).repartition(SHARDS, "place")
+    rows = stored(labelled_sample(docs, labels, sample), "labelled-sample").repartition(SHARDS, "place")
     for _ in range(ROUNDS):
         start = spark.sparkContext.broadcast((weights, squares))
 
@@ -184,7 +188,7 @@ def score_texts(docs: DataFrame, weights: np.ndarray | None, text_col: str = "te
     """``docs`` plus ``score_col``; an input column of that name is replaced."""
     rows = docs.select(*[f"`{c}`" for c in docs.columns if c != score_col])
     if weights is None:
-        return rows.withColumn(score_col, F.lit(1.0))
+        return rows.withColumn(score_col, F.lit(0.5))
     ship_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(weights)
 
@@ -211,8 +215,11 @@ def op6_quality_classifier(spark, sf_dir) -> DataFrame:
 
 
 def pipeline_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored at the threshold or above."""
+    """Documents scored at the threshold or above; all of them if there is no
+    label to learn from."""
     weights = train(docs, read_table(spark, sf_dir, "labels"))
+    if weights is None:
+        return docs
     score = fresh(docs, "score")
     return score_texts(docs, weights, score_col=score).where(
         F.col(score) >= THRESHOLD).select(*[f"`{c}`" for c in docs.columns])
