@@ -107,7 +107,8 @@ def reconstruct(spark: SparkSession, path: str) -> DataFrame:
     records = spark.read.parquet(f"{path}/records")
     payloads = spark.read.parquet(f"{path}/payloads").select("digest", "payload")
     joined = records.join(payloads, "digest")
-    block = F.when(F.col("header").cast("string").contains("WARC-Type: revisit" + CRLF),
+    # a header line of its own: a URL may end in the same words
+    block = F.when(F.col("header").cast("string").contains(f"{CRLF}WARC-Type: revisit{CRLF}"),
                    F.lit(b"")).otherwise(F.col("payload"))
     return joined.select("header", "payload",
                          F.concat(F.col("header"), block, F.lit(RECORD_END)).alias("record"))
