@@ -13,7 +13,8 @@ captures, or a pattern with a very long history, is spread over months and
 adaptive execution can split what remains; no list is broadcast by hint.
 
 Edge cases: entries with a null list, pattern, action or time are ignored; a
-``remove`` at the time of an ``add`` wins; an entry never removed stays active;
+``remove`` at the time of an ``add`` wins; hosts are compared in lower case and
+without a last dot, and an IPv6 address in its brackets is a host of one label; an entry never removed stays active;
 repeated entries count once. A capture whose URL is null or has no host, or
 whose fetch time is null, matches nothing and is not blocked. Repeated
 captures (same id, URL and time) give one row. Empty tables give no rows.
@@ -31,9 +32,17 @@ DAY = "INTERVAL 1 DAY"
 
 
 def host_of(url: Column) -> Column:
-    """Lower-case host without credentials and port; null where there is none."""
-    found = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)", 1)
-    return F.nullif(F.lower(found), F.lit(""))
+    """Lower-case host without credentials, port and last dot, an IPv6 address
+    in its brackets; null where there is none."""
+    found = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#@]*\]|[^/?#:@\[]+)", 1)
+    return F.nullif(F.regexp_replace(F.lower(found), r"\.+$", ""), F.lit(""))
+
+
+def listed_pattern(pattern: Column) -> Column:
+    """A list's pattern as captures are matched: its host in lower case and
+    without a last dot, its path as it is."""
+    host = F.regexp_replace(F.lower(F.regexp_extract(pattern, r"^([^/]*)", 1)), r"\.+$", "")
+    return F.concat(host, F.regexp_extract(pattern, r"^[^/]*(.*)$", 1))
 
 
 def path_of(url: Column) -> Column:
@@ -45,7 +54,7 @@ def candidate_patterns(url: Column, max_segments: int) -> Column:
     labels or more (a host of one label: itself) and the host with its first
     path segments, up to ``max_segments`` of them."""
     host = host_of(url)
-    labels = F.split(host, r"\.")
+    labels = F.when(F.startswith(host, F.lit("[")), F.array(host)).otherwise(F.split(host, r"\."))
     n = F.size(labels)
     suffixes = F.transform(
         F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))),
@@ -95,6 +104,7 @@ def judge_captures(captures: DataFrame, entries: DataFrame, id_col: str = "page_
     lo, hi = rows.agg(F.trunc(F.min("fetched_at"), "month"),
                       F.trunc(F.max("fetched_at"), "month")).first()
     lo, hi = F.lit(lo).cast("date"), F.lit(hi).cast("date")
+    entries = entries.withColumn("pattern", listed_pattern(F.col("pattern")))
     # one number: the path segments of the longest pattern, beyond which no prefix can match
     deepest = entries.agg(F.max(F.size(F.split("pattern", "/")) - 1)).first()[0] or 0
     month = lambda c: F.trunc(c, "month")
