@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 import zipfile
@@ -19,11 +18,11 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in Python workers: the code is sent with
-    the job unless the workers' path holds it already."""
+    """Make this package importable in Python workers: the code is sent once
+    per session, wherever the driver itself has it from."""
     root = Path(__file__).resolve().parents[2]
     sc = spark.sparkContext
-    if str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or getattr(sc, "_tessera_sent", False):
+    if getattr(sc, "_tessera_sent", False):
         return
     name = Path(tempfile.mkdtemp()) / "tessera.zip"
     with zipfile.ZipFile(name, "w") as out:
