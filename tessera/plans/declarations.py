@@ -50,5 +50,6 @@ LINEITEM = Table("lineitem", (
                 Reference(("l_suppkey",), "supplier", ("s_suppkey",))))
 
 #: Suppliers as the parents of order lines' parts: most part numbers have none.
-PART_OF_SUPPLIER = Table("part", (Field("p_partkey", "bigint", nullable=False), Field("p_name", length=12), Field("p_type", length=30)),
-                         key=("p_name", "p_type"), references=(Reference(("p_partkey",), "supplier", ("s_suppkey",)),))
+PART_OF_SUPPLIER = Table("part", (Field("p_partkey", "bigint", nullable=False), Field("p_name", length=12), Field("p_type", length=30),
+                                  Field("p_size", "int")), key=("p_name", "p_type", "p_size"),
+                         references=(Reference(("p_partkey",), "supplier", ("s_suppkey",)),))

@@ -40,7 +40,7 @@ def sketch_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
                       & (F.count_if(number <= r.quantiles[0]) >= (0.5 - sketches.RANK_ERROR) * F.count(c)))
         else:
             median = F.lit(True)
-        checks.append(orders.agg(F.lit(c).alias("column_name"), F.lit(r.n_rows).alias("n_rows"), F.lit(r.n_null).alias("n_null"),
+        checks.append(orders.agg(F.lit(c).alias("column_name"), F.lit(r.n_rows).cast("long").alias("n_rows"), F.lit(r.n_null).cast("long").alias("n_null"),
                                  distinct.alias("distinct_ok"), median.alias("median_ok")))
     return reduce(DataFrame.unionByName, checks)
 
