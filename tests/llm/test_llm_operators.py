@@ -5,8 +5,10 @@ and extra columns whose names clash."""
 import collections
 import hashlib
 import itertools
+import math
 import random
 import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -67,6 +69,18 @@ def test_warc_records_are_exact(spark, tmpdir_path):
         assert bytes(r.payload) == ("é" * 80).encode()
 
 
+def test_warc_blocks_have_their_stated_length(spark, tmpdir_path):
+    urls = ["http://a/?q=WARC-Type: revisit", "http://b/ WARC-Type: response", "WARC-Type: revisit", "x\r\nWARC-Type: revisit", None]
+    rows = [(10 * k + i, u, f"{k}" * 200) for k, u in enumerate(urls) for i in range(2)]
+    warc.write_archive(spark.createDataFrame(rows, "page_id long, url string, html string"), f"{tmpdir_path}/b")
+    sizes = collections.Counter()
+    for r in warc.reconstruct(spark, f"{tmpdir_path}/b").collect():
+        head, _, rest = bytes(r.record).partition(b"\r\n\r\n")
+        assert len(rest) - 4 == int(re.search(rb"\r\nContent-Length: (\d+)", head)[1])
+        sizes[len(rest) - 4] += 1
+    assert sizes == {200: len(urls), 0: len(urls)}
+
+
 # ---------------------------------------------------------------------- tokens
 
 @pytest.mark.parametrize("bits", [1, 3, 8, 11, 16, 17, 32])
@@ -105,6 +119,13 @@ def test_token_pack(spark, tmpdir_path):
     assert token_pack.read_tokens(empty).count() == 0
 
 
+def test_vocabularies_that_need_whole_texts():
+    assert token_pack.WordEncoder(P.path("word_bpe_49k.json")).by_word
+    other = token_pack.WordEncoder(P.path("byte_bpe_50k.json"))
+    texts = ["Hello  world.\n", " a,b .c", ""]
+    assert not other.by_word and other.encode(texts) == other._ids(texts)
+
+
 # --------------------------------------------------------------- decontamination
 
 ITEM = ("A farmer sells 12 apples on monday and 30 apples on tuesday then he gives 12 pears to Maria while "
@@ -259,7 +280,7 @@ def test_quality_classifier(spark):
     assert np.mean([(s >= 0.7) == y for s, y in held]) > 0.97
     assert all(0 <= s <= 1 for s in scored.values()) and scored[1000] == scored[1001]
     assert quality_classifier.train(texts, labels.limit(0)) is None
-    assert {r.score for r in quality_classifier.score_texts(texts, None).collect()} == {1.0}
+    assert {r.score for r in quality_classifier.score_texts(texts, None).collect()} == {0.5}
     wide = quality_classifier.score_texts(clashing(spark), weights)
     assert dict(wide.dtypes)["score"] == "double" and wide.count() == len(TEXTS)
 
@@ -471,7 +492,7 @@ def test_sentencepiece(spark):
 
 def test_quality_rules(spark):
     rng = random.Random(8)
-    common = quality_rules.COMMON["en"]
+    common = ("the", "of", "and", "to", "in", "a", "is", "that", "for", "it", "as", "was", "with", "be", "by", "on")
     good = lambda: " ".join(rng.choice([rng.choice(common), "".join(rng.choices("aeioulnrst", k=6))]) for _ in range(300)) + ".\n"
     rows = [(k, good(), "en") for k in range(30)] + [(40, "Words| ".join(good().split()), "en"), (41, good().upper(), "en"),
                                                     (42, "the cat sat " * 40, "en"), (43, "é" * 900, None)]
@@ -490,3 +511,161 @@ def test_quality_rules(spark):
     kept = {r.doc_id: r.kept for r in found if r.doc_id is not None}
     assert all(kept[k] for k in range(20, 30)) and not kept[41] and not kept[42] and not kept[40]
     assert quality_rules.judge_texts(docs(spark, [], f"{DOCS}, lang string")).count() == 0
+
+
+def _plain_rules(rows):
+    """{position: (char distance, word distance, kept)} of (id, text, lang) rows, from plain counts."""
+    R = quality_rules
+    split = lambda t: re.findall(r"[^\x20\x09-\x0D]+", t or "")
+    held = collections.defaultdict(collections.Counter)
+    for _, text, lang in rows:
+        words = split((text or "").lower())
+        if len(words) >= R.MIN_WORDS:
+            held[lang].update(w for w in set(words) if all(unicodedata.category(c)[0] == "L" for c in w))
+    common = {g: [w for w, _ in sorted(c.items(), key=lambda x: (-x[1], x[0]))[:R.COMMON_WORDS]] for g, c in held.items() if c}
+    found = []
+    for _, text, lang in rows:
+        text, words = text or "", split(text)
+        n_chars, in_words = len(text), len("".join(words))
+        classes = [sum(map(len, re.findall(c, text))) for c in R.CLASSES]
+        triples = collections.Counter(zip(words, words[1:], words[2:], strict=False))
+        marked = {i + j for i, t in enumerate(zip(words, words[1:], words[2:], strict=False)) if triples[t] > 1 for j in range(3)}
+        failed = len(words) < 50 or 100 * len(marked) > 50 * len(words)
+        chars = [x / in_words for x in (*classes, max(0, in_words - sum(classes)))] if in_words else None
+        own = None
+        if lang in common and words:
+            met = collections.Counter(w.lower() for w in words)
+            counts = [met[w] for w in common[lang]]
+            own = [x / len(words) for x in (*counts, max(0, len(words) - sum(counts)))]
+        found.append((lang, n_chars, len(words), chars, own, failed))
+
+    def reference(which, at):
+        out = []
+        for column in zip(*(f[at] for f in which), strict=True):
+            bins = sorted(math.floor(x * R.BINS) for x in column)
+            out.append(bins[(len(bins) + 1) // 2 - 1] / R.BINS)
+        return [x / sum(out) for x in out] if sum(out) else None
+
+    def distance(p, q):
+        if p is None or q is None:
+            return None
+        part = lambda a, b: a * math.log2(2 * a / (a + b)) if a > 0 else 0.0
+        return math.sqrt(max(0.0, sum(part(a, b) + part(b, a) for a, b in zip(p, q, strict=True)) / 2))
+
+    passed = [f for f in found if not f[5] and f[1] >= R.MIN_CHARS]
+    by_lang = {g: [f for f in passed if f[0] == g] for g in {f[0] for f in passed}}
+    overall, out = reference(passed, 3) if passed else None, {}
+    for at, (lang, n_chars, n_words, chars, own, failed) in enumerate(found):
+        here = by_lang.get(lang)
+        c = distance(chars, reference(here, 3) if here else overall)
+        w = distance(own, reference(here, 4)) if here and own else None
+        bad = failed or (c is not None and n_chars >= R.MIN_CHARS and c > R.CHAR_LIMIT + R.CHAR_NOISE * math.sqrt(6 / n_chars)) or (
+            w is not None and n_words >= R.MIN_WORDS and w > R.WORD_LIMIT + R.WORD_NOISE * math.sqrt(len(own) / n_words))
+        out[at] = (None if c is None else round(c, 6), None if w is None else round(w, 6), not bad)
+    return out
+
+
+def test_distances_and_verdicts_equal_plain_rules(spark):
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang").collect()
+    rows = [tuple(r) for r in table] + [(k, t, g) for k, t in TEXTS for g in ("en", "xx", None)]
+    found = quality_rules.judge_texts(docs(spark, rows, f"{DOCS}, lang string")).collect()
+    rounded = lambda x: None if x is None else round(x, 6)
+    got = collections.Counter((r.doc_id, r.lang, rounded(r.char_distance), rounded(r.word_distance), r.kept) for r in found)
+    want = collections.Counter((rows[at][0], rows[at][2], *v) for at, v in _plain_rules(rows).items())
+    near = lambda x, y: all(a == b or (isinstance(a, float) and isinstance(b, float) and abs(a - b) < 2e-6) for a, b in zip(x, y, strict=True))
+    key = lambda x: (str(x[0]), str(x[1]), str(x[4]), x[2] or -1.0, x[3] or -1.0)
+    assert all(near(a, b) for a, b in zip(sorted(got.elements(), key=key), sorted(want.elements(), key=key), strict=True))
+
+
+def _plain_ftrl(rows, weights, squares):
+    R = quality_classifier
+    z = [-w * ((R.BETA + math.sqrt(n)) / R.ALPHA + R.L2) - (w > 0) * R.L1 + (w < 0) * R.L1 for w, n in zip(weights, squares, strict=True)]
+    n = list(squares)
+    weight = lambda i: 0.0 if abs(z[i]) <= R.L1 else -(z[i] - math.copysign(R.L1, z[i])) / ((R.BETA + math.sqrt(n[i])) / R.ALPHA + R.L2)
+    for slots, values, label in rows:
+        w = [weight(i) for i in slots]
+        p = 1 / (1 + math.exp(-max(-35, min(35, sum(a * b for a, b in zip(w, values, strict=True))))))
+        for i, own, x in zip(slots, w, values, strict=True):
+            g = (p - label) * x
+            z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / R.ALPHA * own
+            n[i] += g * g
+    return [weight(i) for i in range(len(z))], n
+
+
+def test_ftrl_equals_a_plain_loop():
+    rng = np.random.default_rng(3)
+    rows = [(rng.choice(40, 6, replace=False), rng.random(6), float(rng.integers(2))) for _ in range(200)]
+    weights, squares = np.zeros(40), np.zeros(40)
+    for _ in range(2):
+        plain = _plain_ftrl(rows, weights.tolist(), squares.tolist())
+        weights, squares = quality_classifier.ftrl(rows, weights, squares)
+        assert np.allclose(weights, plain[0]) and np.allclose(squares, plain[1])
+
+
+def test_sample_is_bounded_by_rows(spark):
+    rows = [(7, f"text {k}") for k in range(500)] + [(k, "other") for k in range(100, 400)] + [(None, "x")]
+    labels = spark.createDataFrame([(7, 1), (7, 0), *[(k, 1) for k in range(100, 400)], (999, 1), (None, 1)], "doc_id long, quality int")
+    for bound in (1, 50, 10_000):
+        sample = quality_classifier.labelled_sample(docs(spark, rows), labels, bound).collect()
+        known = [k for k in (7, *range(100, 400)) if zlib.crc32(str(k).encode()) % 4 != 2]
+        assert len(sample) == min(bound, len(known))
+    assert ("text 0", 0.0) in {(r.text, r.label) for r in sample} or zlib.crc32(b"7") % 4 == 2
+
+
+def test_classifier_stage_without_labels_keeps_all(spark, tmpdir_path):
+    spark.createDataFrame([], "doc_id long, quality int").write.parquet(f"{tmpdir_path}/labels.parquet")
+    kept = quality_classifier.pipeline_stage(spark, clashing(spark), tmpdir_path)
+    assert kept.columns == clashing(spark).columns and kept.count() == len(TEXTS)
+
+
+def test_many_matches_in_one_text_take_linear_time(spark):
+    import time
+    text = " ".join(f"{k:07d}" for k in range(100_000)) + " " + " ".join(f"user{k}@mail{k}.example.org" for k in range(10_000))
+    started = time.monotonic()
+    found = pii.find_base(docs(spark, [(1, text)])).select("spans").first().spans
+    assert len(found) == 10_000 and time.monotonic() - started < 60
+    assert [(s.start, s.end) for s in found] == [m.span() for m in re.finditer(r"user\d+@mail\d+\.example\.org", text)]
+
+
+def test_sanitised_texts_of_many_spans(spark):
+    rng = random.Random(12)
+    texts = [" ".join(rng.choice(["a@b.co", "10.0.0.1", "word", "+49 151 12345678", "é", "4111 1111 1111 1111"]) for _ in range(n)) for n in (0, 1, 5, 700)]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(9, None)]
+    found = pii.find_personal_data(docs(spark, rows))
+    clean = {r.doc_id: r.sanitised for r in pii.sanitise(docs(spark, rows), found).collect()}
+    digests = {r.doc_id: r.sanitised_sha256 for r in found.collect()}
+    for k, text in rows:
+        out, at = [], 0
+        for kind, start, end in (x.split(":") for x in _base(text)):
+            if int(start) >= at:
+                out.append(text[at:int(start)] + f"[{kind.upper()}]")
+            at = max(at, int(end))
+        want = "".join(out) + (text or "")[at:]
+        assert clean[k] == want and digests[k] == hashlib.sha256(want.encode()).hexdigest()
+
+
+def test_short_items_convict_only_texts_that_are_nothing_else(spark):
+    rows = [(1, "the"), (2, "the cat and the dog"), (3, "The."), (4, "two words"), (5, "two words more")]
+    items = spark.createDataFrame([(1, "the"), (2, "two words")], "item_id long, text string")
+    got = decontaminate.contaminated_pairs(docs(spark, rows), items).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(1, 1), (3, 1), (4, 2)}
+
+
+def test_host_forms(spark):
+    import datetime as dt
+    at = dt.datetime(2024, 1, 1)
+    urls = ["http://bad.org./x", "http://BAD.org/", "http://u@[2001:DB8::1]:8080/a", "http://ok.org/", "http://Bad2.org./P/q", "http://[", "//x"]
+    pages = spark.createDataFrame([(k, u, dt.datetime(2024, 2, 1)) for k, u in enumerate(urls)], "page_id long, url string, fetched_at timestamp")
+    lists = spark.createDataFrame([("l", "block", p, "add", at) for p in ("bad.org", "BAD2.org./P", "[2001:db8::1]")],
+                                  "list string, rule string, pattern string, action string, at timestamp")
+    got = {r.page_id: (r.blocked, r.host) for r in url_lists.judge_captures(pages, lists).collect()}
+    assert got == {0: (True, "bad.org"), 1: (True, "bad.org"), 2: (True, "[2001:db8::1]"), 3: (False, "ok.org"), 4: (True, "bad2.org"),
+                   5: (False, None), 6: (False, None)}
+
+
+def test_tiles_of_a_cluster_are_dealt_apart(spark):
+    """The bitmaps' tiles go to tasks by the tile, not by the cluster that their rows were joined on."""
+    rows = spark.createDataFrame([(1, k, 5, k % 3, 0) for k in range(50)], "cluster long, id long, size long, label long, main long")
+    texts = docs(spark, [(k, "a b c d e f") for k in range(50)]).select(F.col("doc_id").alias("id"), "text")
+    plan = jaccard_join._tightened(rows, texts, 4, 85, 100)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"FlatMapGroupsInArrow \[tile#\d+\]", plan) and re.search(r"hashpartitioning\(tile#\d+", plan)
