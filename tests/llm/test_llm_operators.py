@@ -119,13 +119,6 @@ def test_token_pack(spark, tmpdir_path):
     assert token_pack.read_tokens(empty).count() == 0
 
 
-def test_vocabularies_that_need_whole_texts():
-    assert token_pack.WordEncoder(P.path("word_bpe_49k.json")).by_word
-    other = token_pack.WordEncoder(P.path("byte_bpe_50k.json"))
-    texts = ["Hello  world.\n", " a,b .c", ""]
-    assert not other.by_word and other.encode(texts) == other._ids(texts)
-
-
 # --------------------------------------------------------------- decontamination
 
 ITEM = ("A farmer sells 12 apples on monday and 30 apples on tuesday then he gives 12 pears to Maria while "
