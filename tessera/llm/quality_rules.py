@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import broadcast_if_small, stored, text_or_empty
+from tessera.llm.common import broadcast_if_small, is_small, stored, text_or_empty
 from tessera.sources.tables import read_table
 
 MIN_WORDS = 50
@@ -40,7 +40,7 @@ MIN_CHARS = 200
 CHAR_LIMIT = 0.16
 WORD_LIMIT = 0.20
 CHAR_NOISE, WORD_NOISE = 0.9, 0.25
-BROADCAST_LANGUAGES = 10_000
+BROADCAST_LANGUAGES, LITERAL_LANGUAGES = 10_000, 200
 SPACE = r"[ \x09-\x0D]+"
 
 COMMON_WORDS = 16
@@ -76,7 +76,12 @@ def common_words(docs: DataFrame) -> DataFrame:
 
 def text_counts(docs: DataFrame) -> DataFrame:
     """Counts of every document; none of its text goes on."""
-    known = broadcast_if_small(stored(common_words(docs), "common-words"), BROADCAST_LANGUAGES)
+    learned = stored(common_words(docs), "common-words")
+    known = broadcast_if_small(learned, BROADCAST_LANGUAGES)
+    # at most COMMON_WORDS words of each of LITERAL_LANGUAGES: most words of a text are none of them
+    few = is_small(learned, LITERAL_LANGUAGES)
+    any_of = [r.word for r in learned.select(F.explode("common").alias("word")).distinct().collect()] if few else []
+    may_be = (lambda w: F.lower(w).isin(any_of)) if any_of else (lambda w: F.lit(not few))
     words = (docs.select("doc_id", "lang", text_or_empty("text").alias("text"))
              .join(known, F.col("lang").eqNullSafe(F.col("known_lang")), "left").drop("known_lang")
              .withColumn("words", _words(F.col("text"))))
@@ -103,8 +108,8 @@ def text_counts(docs: DataFrame) -> DataFrame:
     # most characters are of no class counted below: one pass takes them away
     counted = counted.withColumn("rest", F.regexp_replace("text", r"[a-z \x09-\x0D]+", ""))
     classes = [(F.length("rest") - F.length(F.regexp_replace("rest", c, ""))).cast("long") for c in CLASSES]
-    counted = counted.withColumn("met", F.filter(
-        F.transform("words", lambda w: F.array_position("common", F.lower(w))), lambda k: k > 0))
+    counted = counted.withColumn("met", F.transform(
+        F.filter("words", may_be), lambda w: F.array_position("common", F.lower(w))))
     return counted.select(
         "doc_id", "lang", n.cast("long").alias("n_words"), F.length("text").cast("long").alias("n_chars"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
