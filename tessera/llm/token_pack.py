@@ -27,6 +27,7 @@ ignored.
 from __future__ import annotations
 
 import functools
+import json
 import os
 import re
 import struct
@@ -36,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -79,8 +81,21 @@ def unpack(data: bytes, n: int, bits: int) -> np.ndarray:
     return ((window >> (at & 7).astype(np.uint64)) & np.uint64((1 << bits) - 1)).astype(np.uint32)
 
 
-#: No token holds both a letter and one of these, so a cut between them changes nothing.
-CUT = re.compile(rb"(?<=[a-z])(?=[.,])")
+#: No token holds both a letter and one of these, so a cut between them changes
+#: nothing. The letters are those of ASCII and of U+00C0 to U+00FF.
+AFTER_LETTER = rb"(?:(?<=[a-z]%s)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]%s))"
+CUTS = tuple((re.compile(mark + AFTER_LETTER % (mark, mark)), b" " + sign) for sign, mark in ((b".", rb"\."), (b",", b",")))
+WORDS_AT_ONCE = 256
+
+
+def split_words(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct words of ``texts``, every word's place among them, and the
+    first of every text's words plus their number; an empty word may stand at
+    either end of a text."""
+    lists = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).cast(pa.large_string()))
+    firsts = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
+    words = pc.list_flatten(lists).dictionary_encode()
+    return words.dictionary.cast(pa.large_binary()).to_pylist(), words.indices.to_numpy(), firsts
 
 
 class WordEncoder:
@@ -96,40 +111,86 @@ class WordEncoder:
         self.generation = cached_words // 2
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        # which ids end a word, if the vocabulary has an end for every byte
+        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        ends = {t: k for t, k in self.tokenizer.get_vocab(with_added_tokens=False).items()
+                if suffix and t.endswith(suffix)}
+        self.ends = None
+        if sum(len(t) == len(suffix) + 1 for t in ends) >= 256:
+            self.ends = np.zeros(max(self.vocabulary, max(ends.values()) + 1), bool)
+            self.ends[list(ends.values())] = True
 
     @property
     def vocabulary(self) -> int:
         return self.tokenizer.get_vocab_size(with_added_tokens=True)
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        return [np.array(x.ids, "<u4") for x in found]
+
+    def _word_ids(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """Every word with its ids. Words of letters alone have one id that
+        ends a word, their last, so many are encoded as one text."""
+        letters, others = [], []
+        for word in words:
+            (letters if self.ends is not None and word.decode("utf-8").isalpha() else others).append(word)
+        parts = [letters[k:k + WORDS_AT_ONCE] for k in range(0, len(letters), WORDS_AT_ONCE)]
+        for k in range(0, len(parts), 16):
+            together = self._ids([b" ".join(part).decode("utf-8") for part in parts[k:k + 16]])
+            for part, ids in zip(parts[k:k + 16], together, strict=True):
+                stops = 4 * (np.flatnonzero(self.ends[ids]) + 1)
+                if len(stops) != len(part):  # a letter's lower case may hold a mark
+                    others += part
+                    continue
+                data, at = ids.tobytes(), 0
+                for word, stop in zip(part, stops.tolist(), strict=True):
+                    yield word, data[at:stop]
+                    at = stop
+        for k in range(0, len(others), 4096):
+            part = others[k:k + 4096]
+            for word, ids in zip(part, self._ids([w.decode("utf-8") for w in part]), strict=True):
+                yield word, ids.tobytes()
 
-    def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of all ``words``, as a dictionary that holds at least them."""
+    def _known(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each of some distinct words."""
         if len(self.young) > self.generation:
             self.young, self.old = {}, self.young
-        passing: dict[bytes, bytes] = {}
-        missing = []
-        for word in words - self.young.keys():
+        known = list(map(self.young.get, words))
+        missing = {}
+        for at, ids in enumerate(known):
+            if ids is not None:
+                continue
+            word = words[at]
             if (ids := self.old.get(word)) is None:
-                missing.append(word)
+                missing[word] = at
             else:
+                self.young[word] = known[at] = ids
+        for word, ids in self._word_ids(list(missing)):
+            known[missing[word]] = ids
+            if len(word) <= CACHED_WORD_BYTES:
                 self.young[word] = ids
-        for k in range(0, len(missing), 4096):
-            part = missing[k:k + 4096]
-            for word, ids in zip(part, self._ids([w.decode("utf-8") for w in part]), strict=True):
-                (self.young if len(word) <= CACHED_WORD_BYTES else passing)[word] = ids
-        return {**self.young, **passing} if passing else self.young
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids as little-endian uint32."""
-        # special tokens are matched with case, in the text as it is
-        words = [CUT.sub(b" ", x.encode("utf-8").lower()).split() if "<|" not in x else None
-                 for x in texts]
-        known = self._learn({w for x in words if x for w in x})
-        return [self._ids([text])[0] if x is None else b"".join([known[w] for w in x])
-                for text, x in zip(texts, words, strict=True)]
+        return known
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Each text's ids."""
+        plain = []
+        for text in texts:
+            # special tokens are matched with case, in the text as it is
+            raw = text.encode("utf-8").lower() if "<|" not in text else b""
+            for pattern, cut in CUTS:
+                raw = pattern.sub(cut, raw)
+            plain.append(raw)
+        words, places, firsts = split_words(plain)
+        known = self._known(words)
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        starts = np.cumsum(sizes) - sizes
+        size = sizes[places]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        # id k of a word that begins at position p is id k of the word's own ids
+        ids = np.frombuffer(b"".join(known), "<u4")[
+            np.repeat(starts[places] - ends[:-1], size) + np.arange(ends[-1])]
+        return [self._ids([text])[0] if "<|" in text else ids[a:b]
+                for text, a, b in zip(texts, ends[firsts[:-1]], ends[firsts[1:]], strict=True)]
 
 
 @functools.lru_cache(maxsize=1)
@@ -248,7 +309,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_c
                     texts = encoder.encode(part["text"].to_pylist())
                     for doc, ids in zip(part["id"].to_pylist(), texts, strict=True):
                         yield (NULL_ID if doc is None else doc,
-                               np.concatenate([np.frombuffer(ids, "<u4"), end]))
+                               np.concatenate([ids, end]))
 
         shard = TaskContext.get().partitionId()
         path = f"{folder}/tokens-{shard:06d}.tpk"

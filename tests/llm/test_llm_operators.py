@@ -119,6 +119,35 @@ def test_token_pack(spark, tmpdir_path):
     assert token_pack.read_tokens(empty).count() == 0
 
 
+def test_word_encoder_equals_whole_texts():
+    rng = random.Random(2)
+    pool = [*"abzAZéÉÀÿ×÷ßİıΣσς.,'’!-<|> \t\n\x0b\x85\u0301\u0307가\u1100\u116112中", "'s", "'ll", ". ", ", ", "<|endoftext|>"]
+    texts = ["", " ", "é.,è, ×. ÷, ä.b É, İx", "ǆ ﬁ ª.º, K Å", *("".join(rng.choices(pool, k=rng.randint(0, 40))) for _ in range(2000))]
+    encoder = token_pack.WordEncoder(P.path("word_bpe_49k.json"), cached_words=400)
+    whole = [x.ids for x in encoder.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    for _ in range(2):  # words are new, then known, then forgotten
+        found = [ids.tolist() for k in range(0, len(texts), 50) for ids in encoder.encode(texts[k:k + 50])]
+        assert found == whole
+    assert encoder.encode([]) == []
+
+
+def test_words_of_letters_are_encoded_together():
+    encoder = token_pack.WordEncoder(P.path("word_bpe_49k.json"))
+    plain, given = encoder.tokenizer, []
+
+    class Counted:
+        def encode_batch_fast(self, texts, **options):
+            given.extend(texts)
+            return plain.encode_batch_fast(texts, **options)
+
+    encoder.tokenizer = Counted()
+    words = ["".join(w) for w in itertools.product("abcdefghéz", repeat=4)]
+    texts = [". ".join(words[k:k + 100]) + "." for k in range(0, len(words), 100)]
+    found = [ids.tolist() for ids in encoder.encode(texts)]
+    assert found == [plain.encode(x, add_special_tokens=False).ids for x in texts]
+    assert len(given) <= 50  # 10,000 words
+
+
 # --------------------------------------------------------------- decontamination
 
 ITEM = ("A farmer sells 12 apples on monday and 30 apples on tuesday then he gives 12 pears to Maria while "
