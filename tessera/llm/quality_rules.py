@@ -81,27 +81,23 @@ def text_counts(docs: DataFrame) -> DataFrame:
     # at most COMMON_WORDS words of each of LITERAL_LANGUAGES: most words of a text are none of them
     few = is_small(learned, LITERAL_LANGUAGES)
     any_of = [r.word for r in learned.select(F.explode("common").alias("word")).distinct().collect()] if few else []
-    may_be = (lambda w: F.lower(w).isin(any_of)) if any_of else (lambda w: F.lit(not few))
+    longest = max(map(len, any_of), default=0)  # lower case never has fewer characters
+    may_be = (lambda w: (F.length(w) <= longest) & F.lower(w).isin(any_of)) if any_of else (lambda w: F.lit(not few))
     words = (docs.select("doc_id", "lang", text_or_empty("text").alias("text"))
              .join(known, F.col("lang").eqNullSafe(F.col("known_lang")), "left").drop("known_lang")
              .withColumn("words", _words(F.col("text"))))
     n = F.size("words")
-    words = words.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
-    triples = F.when(n >= 3, F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.xxhash64(
-        F.get("hashes", i), F.get("hashes", i + 1), F.get("hashes", i + 2)))).otherwise(
-        F.array().cast("array<bigint>"))
+    # the last two windows are of fewer words: no other equals them
+    triples = F.transform("words", lambda w, i: F.xxhash64(w, F.get("words", i + 1), F.get("words", i + 2)))
     lines = F.filter(F.split("text", "\n", -1), lambda x: F.rlike(x, F.lit(r"[^ \x09-\x0D]")))
     counted = words.withColumn("triples", triples).withColumn("lines", lines)
-    # only a text that repeats some window needs the windows in order
-    ordered = F.when(F.size(F.array_distinct("triples")) < F.size("triples"), F.array_sort(
+    # only a text that repeats some window needs the windows in order (sort_array compares without a lambda)
+    ordered = F.when(F.size(F.array_distinct("triples")) < F.size("triples"), F.sort_array(
         F.transform("triples", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
     counted = counted.withColumn("ordered", ordered)
-    repeated = F.array_sort(F.transform(
-        F.filter(F.transform("ordered", lambda e, k: F.struct(
-            e["i"].alias("i"),
-            (F.coalesce(F.get("ordered", k - 1)["h"] == e["h"], F.lit(False))
-             | F.coalesce(F.get("ordered", k + 1)["h"] == e["h"], F.lit(False))).alias("twice"))),
-            lambda e: e["twice"]), lambda e: e["i"]))
+    same = lambda e, at: F.coalesce(F.get("ordered", at)["h"] == e["h"], F.lit(False))
+    repeated = F.sort_array(F.transform(
+        F.filter("ordered", lambda e, k: same(e, k - 1) | same(e, k + 1)), lambda e: e["i"]))
     counted = counted.withColumn("repeated", repeated)
     in_windows = _sum(F.transform("repeated", lambda x, k: F.least(
         F.lit(3), F.coalesce(x - F.get("repeated", k - 1), F.lit(3))).cast("long")))

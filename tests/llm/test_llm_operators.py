@@ -535,6 +535,20 @@ def test_quality_rules(spark):
     assert quality_rules.judge_texts(docs(spark, [], f"{DOCS}, lang string")).count() == 0
 
 
+def test_repeated_windows_are_found_in_one_pass_of_hashes(spark):
+    texts = ["", "a", "a a", "a a a", "a a a a", "b a b a", "b a b a b", "a b c x a b c", " a b\tc d\na b c ", "a b c b c",
+             "x y z " * 30, "K \u212a k \u212a K \u212a k"]
+    counts = quality_rules.text_counts(docs(spark, [(k, t, "en") for k, t in enumerate(texts)], f"{DOCS}, lang string"))
+    found = {r.doc_id: (r.n_words, r.n_repeat_words) for r in counts.collect()}
+    for k, text in enumerate(texts):
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        windows = list(zip(words, words[1:], words[2:], strict=False))
+        marked = {i + j for i, w in enumerate(windows) if windows.count(w) > 1 for j in range(3)}
+        assert found[k] == (len(words), len(marked))
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("xxhash64(") == 1 and "array_sort(" not in plan  # array_sort compares by a lambda
+
+
 def _plain_rules(rows):
     """{position: (char distance, word distance, kept)} of (id, text, lang) rows, from plain counts."""
     R = quality_rules
