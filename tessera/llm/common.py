@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,11 +39,25 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """What runs inside removes its shuffle files as it ends; else they stay on
+    disk, step after step, until the driver happens to collect its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: cuts lineage,
     survives lost executors, and is computed once however often it is read."""
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -6,14 +6,19 @@ link directly or through others get the same component.
 
 Candidates. Sets fall into bands of sizes, each ``q/p`` times the one before,
 so linked sets lie in one band or in neighbours; tile ``b`` covers the pairs
-whose smaller set is in band ``b``. All n-grams are brought into one order,
-rare ones first: a fixed number of counters, chosen by hash, is filled from
-all documents, and n-grams of small counters come first. Two linked sets share
-an element among the first ``|A| - ceil(p/q |A|) + 1`` of each in any common
-order, so each set posts those for the tiles of its band: linked sets share a
-posting, always, while documents that merely have a frequent line or passage
-in common do not. The counters only set the order; results do not depend on
-them.
+whose smaller set is in band ``b``. Linked sets of a tile differ in at most D
+elements, so when every set is cut into the same k > D parts by ranges of the
+hash, they have at least k - D parts in common. Parts are brought into one
+order, those with many rare n-grams first, and a set posts the first D + 1 of
+its own: linked sets share a posting, always. k is such that a posted part
+holds some two or three n-grams, mostly; documents that merely have a few
+n-grams in common, as any two may in a large corpus, share no whole part, and
+those with a frequent line or passage in common post others of their parts.
+Sets too small for parts post pairs of their first elements instead: they share
+two elements among the first ``|A| - ceil(p/q |A|) + 2`` of each in any common
+order (one among the first ``+ 1`` when the threshold is low). A fixed number
+of counters, chosen by hash and filled from all documents, tells which n-grams
+are rare. The counters only set the order; results do not depend on them.
 
 Postings are combined before the shuffle: a task sends each class hash once,
 with the smallest document that has it, and equal sets within a task are
@@ -49,7 +54,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import ship_package, stored, text_or_empty
+from tessera.llm.common import ship_package, shuffles_dropped, stored, text_or_empty
 from tessera.llm.components import connected_components
 from tessera.sources.tables import read_table
 
@@ -59,6 +64,7 @@ WIDE_BLOCK = 1024
 MAP_BLOCK, MAP_BITS = 1024, 1 << 14
 FLUSH_POSTINGS = 1 << 20
 COUNTER_BITS, CHUNK_BITS = 22, 14
+CLASSES, SMALL = 10, 32
 POSTING, CANDIDATE, COPY, SIZE = range(4)
 _C1, _C2, _C3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -86,11 +92,12 @@ def shingles(text: str | None, n: int) -> np.ndarray:
 
 
 class Bands:
-    """Size bands of a threshold p/q, and the classes of each tile."""
+    """Size bands of a threshold p/q, and what sets post for each tile."""
 
     def __init__(self, p: int, q: int):
         self.p, self.q = p, q
         self.lows = np.array([1], np.int64)
+        self.cuts: dict[int, np.ndarray] = {}
 
     def _grow(self, size: int) -> None:
         lows = list(self.lows)
@@ -104,34 +111,74 @@ class Bands:
         return int(np.searchsorted(self.lows, size, "right")) - 1
 
     def prefix(self, size: int) -> int:
-        """How many first elements a set of this size posts."""
+        """Among how many first elements of a set of this size is one of a set
+        that links with it."""
         return size - -(-self.p * size // self.q) + 1
 
     def needed(self, a: int | np.ndarray, b: int | np.ndarray) -> int | np.ndarray:
         """Smallest overlap of linked sets of these sizes."""
         return -(-self.p * (a + b) // (self.p + self.q))
 
-
-def rare_first(elements: np.ndarray, ranks: np.ndarray) -> np.ndarray:
-    """The elements under a one-to-one map whose order puts those of small
-    counters first: the counter's number gives way to its rank."""
-    low = np.uint64(64 - COUNTER_BITS)
-    return (ranks[(elements >> low).astype(np.int64)].astype(np.uint64) << low) | (elements & ((np.uint64(1) << low) - np.uint64(1)))
-
-
-def postings(elements: np.ndarray, bands: Bands, ranks: np.ndarray) -> np.ndarray:
+    def apart(self, a: int, b: int) -> int:
+        """In how many elements linked sets of these sizes, or smaller ones, differ at most."""
+        return (a + b) * (self.q - self.p) // (self.p + self.q)
+
+    def tiles(self, size: int) -> list[tuple[int, int]]:
+        """(tile, size of the largest set that one of this size may link with
+        there) of the tiles that have such sets."""
+        band = self.band(size)
+        below = int(self.lows[band]) - 1
+        return [(band, size * self.q // self.p)] + [(band - 1, below)] * (below * self.q >= size * self.p)
+
+    def parts(self, tile: int) -> np.ndarray | None:
+        """Where the parts of the sets of a tile begin; None if these are too
+        small for parts, or differ too much."""
+        if tile not in self.cuts:
+            low, top = int(self.lows[tile]), int(self.lows[tile + 1]) - 1
+            most = self.apart(top, top * self.q // self.p)
+            # a part more than they may differ in, and half as many again to choose from
+            k = 1 if not most else 3 * (most + 1) // 2 + 1 if low >= SMALL and self.tight else 0
+            self.cuts[tile] = np.array([-(-j * (1 << 64) // k) for j in range(k)], np.uint64)
+        return self.cuts[tile] if len(self.cuts[tile]) else None
+
+    @property
+    def tight(self) -> bool:
+        return 4 * self.p >= 3 * self.q
+
+
+def postings(elements: np.ndarray, bands: Bands, classes: np.ndarray) -> np.ndarray:
     """Hashes that a set posts, for the tiles of its band."""
-    n = min(bands.prefix(len(elements)), len(elements))
-    first = rare_first(elements, ranks)
-    if n < len(first):
-        first = np.partition(first, n - 1)[:n]
-    band = bands.band(len(elements))
-    return np.concatenate([_mix(first ^ _mix(np.full(1, tile + 1, np.uint64))) for tile in (band - 1, band) if tile >= 0])
-
-
-def frequency_ranks(rows: DataFrame, n: int) -> np.ndarray:
-    """Rank of each counter by the number of n-grams that all documents put
-    into it; 2 ** COUNTER_BITS rows, whatever the size of the corpus."""
+    size, out = len(elements), []
+    common = classes[(elements >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)]
+    # sums over the ranges of the sorted elements: a part's hash, and its n-grams of
+    # each class, six bits a class
+    sums, weights = np.zeros((2, size + 1), np.uint64)
+    np.cumsum(elements, out=sums[1:])
+    np.cumsum(np.uint64(1) << (np.uint64(6) * (np.uint64(CLASSES - 1) - common.astype(np.uint64))), out=weights[1:])
+    first = None
+    for tile, largest in bands.tiles(size):
+        cuts = bands.parts(tile)
+        if cuts is not None:
+            at = np.append(np.searchsorted(elements, cuts), size)
+            keys = _mix((sums[at[1:]] - sums[at[:-1]]) ^ (np.arange(1, len(at), dtype=np.uint64) * _C1))
+            n = bands.apart(size, largest) + 1
+            if n < len(keys):
+                keys = keys[np.lexsort((keys, ~(weights[at[1:]] - weights[at[:-1]])))[:n]]
+        else:
+            if first is None:
+                first = elements[np.lexsort((elements, common))[:bands.prefix(size) + bands.tight]]
+            keys = first
+            if bands.tight:
+                a, b = np.triu_indices(len(first), 1)
+                keys = _mix(np.minimum(first[a], first[b]) * _C1 + np.maximum(first[a], first[b]))
+        out.append(_mix(keys ^ _mix(np.full(1, tile + 1, np.uint64))))
+    return np.concatenate(out)
+
+
+def frequency_classes(rows: DataFrame, n: int) -> np.ndarray:
+    """Class of each counter by the number of n-grams that all documents put
+    into it: 0 up to some twice the mean, which says nothing of one n-gram, then
+    one more for each doubling; 2 ** COUNTER_BITS, whatever the size of the corpus."""
     low, step = np.uint64(64 - COUNTER_BITS), 1 << CHUNK_BITS
     chunks = 1 << (COUNTER_BITS - CHUNK_BITS)
 
@@ -161,13 +208,13 @@ def frequency_ranks(rows: DataFrame, n: int) -> np.ndarray:
             yield rows_of({k: np.minimum(t, 0xFFFFFFFF).astype("<u4") for k, t in totals.items()})
 
     schema = "chunk int, counts binary"
-    found = rows.select("text").mapInArrow(count, schema).repartition("chunk").mapInArrow(add, schema).toArrow()
+    with shuffles_dropped(rows.sparkSession):
+        found = rows.select("text").mapInArrow(count, schema).repartition("chunk").mapInArrow(add, schema).toArrow()
     counts = np.zeros((chunks, step), np.uint32)
     for k, part in zip(found["chunk"].to_pylist(), found["counts"].to_pylist(), strict=True):
         counts[k] = np.frombuffer(part, "<u4")
-    ranks = np.empty(1 << COUNTER_BITS, np.uint32)
-    ranks[np.argsort(counts.ravel(), kind="stable")] = np.arange(len(ranks), dtype=np.uint32)
-    return ranks
+    common = np.maximum(counts.ravel() / (2 * counts.mean() + 8), 1)
+    return np.minimum(np.ceil(np.log2(common)), CLASSES - 1).astype(np.uint8)
 
 
 def _found(kind: int, key: np.ndarray, a, b) -> pa.RecordBatch:
@@ -182,7 +229,7 @@ def _pairs(kind: int, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
 
 
 def candidate_rows(batches: Iterator[pa.RecordBatch], n: int, p: int, q: int,
-                   ranks: np.ndarray) -> Iterator[pa.RecordBatch]:
+                   classes: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Of (id, text) rows: postings (key, smallest id), candidate pairs and
     copies (pairs of ids) and sizes (id, set size)."""
     bands = Bands(p, q)
@@ -216,7 +263,7 @@ def candidate_rows(batches: Iterator[pa.RecordBatch], n: int, p: int, q: int,
             if (copy := copies.setdefault(digest, doc)) != doc:
                 same.append((copy, doc))
             else:
-                keys.append(postings(elements, bands, ranks))
+                keys.append(postings(elements, bands, classes))
                 ids.append(doc)
                 held += len(keys[-1])
             if held >= FLUSH_POSTINGS:
@@ -393,8 +440,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """(doc_id, n_shingles, component_id), a row per row of ``docs``."""
     ship_package(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
-    ranks = docs.sparkSession.sparkContext.broadcast(frequency_ranks(rows, n))
-    raw = rows.mapInArrow(lambda batches: candidate_rows(batches, n, p, q, ranks.value),
+    classes = docs.sparkSession.sparkContext.broadcast(frequency_classes(rows, n))
+    raw = rows.mapInArrow(lambda batches: candidate_rows(batches, n, p, q, classes.value),
                           "kind byte, key long, a long, b long")
     chained = raw.withColumn("b", F.coalesce("b", F.expr(
         "lag(a) over (partition by key, kind order by a)"))).where("b is not null").select("kind", "a", "b")
